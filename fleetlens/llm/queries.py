@@ -2,6 +2,8 @@
 
 from fleetlens.llm.line_quality import OP2_SQL, op2_line_quality
 from fleetlens.llm.packing import op1_packing
+from fleetlens.llm.sharding import op10_sharding
+from fleetlens.llm.simhash import op9_simhash
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_line_quality)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_line_quality, op9_simhash, op10_sharding)}
 ORACLES = {"op2_line_quality": OP2_SQL}
