@@ -1,9 +1,11 @@
 """The corpus operators' registered queries and, where SQL can express them, their SQL."""
 
+from fleetlens.llm.language_id import op4_language_id
 from fleetlens.llm.line_quality import OP2_SQL, op2_line_quality
 from fleetlens.llm.packing import op1_packing
+from fleetlens.llm.quality_classifier import op6_quality_classifier
 from fleetlens.llm.sharding import op10_sharding
 from fleetlens.llm.simhash import op9_simhash
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_line_quality, op9_simhash, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_line_quality, op4_language_id, op6_quality_classifier, op9_simhash, op10_sharding)}
 ORACLES = {"op2_line_quality": OP2_SQL}
