@@ -1,5 +1,6 @@
 """The corpus operators' registered queries and, where SQL can express them, their SQL."""
 
+from fleetlens.llm.decontaminate import op3_decontamination
 from fleetlens.llm.html_text import op7_html_text
 from fleetlens.llm.language_id import op4_language_id
 from fleetlens.llm.license_scan import op8_license_scan
@@ -9,5 +10,5 @@ from fleetlens.llm.quality_classifier import op6_quality_classifier
 from fleetlens.llm.sharding import op10_sharding
 from fleetlens.llm.simhash import op9_simhash
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_line_quality, op4_language_id, op6_quality_classifier, op7_html_text, op8_license_scan, op9_simhash, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_line_quality, op3_decontamination, op4_language_id, op6_quality_classifier, op7_html_text, op8_license_scan, op9_simhash, op10_sharding)}
 ORACLES = {"op2_line_quality": OP2_SQL}
