@@ -9,6 +9,7 @@ from fleetlens.llm.packing import op1_packing
 from fleetlens.llm.quality_classifier import op6_quality_classifier
 from fleetlens.llm.sharding import op10_sharding
 from fleetlens.llm.simhash import op9_simhash
+from fleetlens.llm.suffix_dedup import op5_suffix_dedup
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_line_quality, op3_decontamination, op4_language_id, op6_quality_classifier, op7_html_text, op8_license_scan, op9_simhash, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_line_quality, op3_decontamination, op4_language_id, op5_suffix_dedup, op6_quality_classifier, op7_html_text, op8_license_scan, op9_simhash, op10_sharding)}
 ORACLES = {"op2_line_quality": OP2_SQL}
