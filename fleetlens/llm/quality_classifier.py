@@ -19,7 +19,7 @@ from fleetlens.llm.common import Rolling, blocks, test_remainder, utf8
 BUCKETS, SIZE = 1 << 15, 32
 #: Neighbours on either side that count.
 REACH = 2
-#: The network is fitted on so many labelled rows of each class at most, those with the smallest hash.
+#: The network is fitted on about so many labelled rows of each class, drawn by a hash of the id.
 FIT_ROWS = 2500
 THRESHOLD = 0.7
 _BYTES = np.arange(256)
@@ -59,6 +59,13 @@ def sums(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def distinct(rows: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+    """Different hashes (their upper 40 bits) of each row of a block of fewer than 2**24 rows."""
+    keys = np.sort(rows.astype(np.uint64) << np.uint64(40) | hashes >> np.uint64(24))
+    keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+    return np.bincount((keys >> np.uint64(40)).astype(np.int64), minlength=n)
+
+
 def index_vectors(seed: int = 11) -> np.ndarray:
     rng = np.random.default_rng(seed)
     out = np.zeros((BUCKETS, SIZE), np.float32)
@@ -71,7 +78,7 @@ def word_vectors(texts: list[str]) -> np.ndarray:
     index = index_vectors()
     out = index.copy()
     data, offsets = utf8(pa.array(texts, pa.large_string()))
-    for a, b in blocks(offsets):
+    for a, b in blocks(offsets, 1 << 20):
         part = offsets[a : b + 1]
         ids, rows, _ = tokens(data[part[0] : part[-1]], part - part[0])
         for d in range(1, REACH + 1):
@@ -96,12 +103,11 @@ def pooled(data: np.ndarray, offsets: np.ndarray, vectors: np.ndarray) -> np.nda
     size = np.maximum(np.diff(offsets), 1)
     kinds = np.concatenate([np.zeros((1, 3)), np.cumsum(np.stack([_KIND[data] == 3, _KIND[data] == 2, _UPPER[data]], 1), axis=0)]) if len(data) else np.zeros((1, 3))
     shares = (kinds[offsets[1:]] - kinds[offsets[:-1]]) / size[:, None]
-    pairs = np.unique(np.stack([rows.astype(np.uint64), hashes], 1), axis=0)[:, 0].astype(np.int64) if len(rows) else np.zeros(0, np.int64)
-    triples = (hashes[2:] * np.uint64(31) + hashes[1:-1]) * np.uint64(31) + hashes[:-2] if len(hashes) > 2 else np.zeros(0, np.uint64)
-    same = rows[2:] == rows[:-2] if len(hashes) > 2 else np.zeros(0, bool)
-    runs = np.unique(np.stack([rows[2:][same].astype(np.uint64), triples[same]], 1), axis=0)[:, 0].astype(np.int64) if same.any() else np.zeros(0, np.int64)
-    variety = np.bincount(pairs, minlength=n)[:, None] / count
-    fresh = np.bincount(runs, minlength=n)[:, None] / np.maximum(np.bincount(rows[2:][same] if len(hashes) > 2 else np.zeros(0, np.int64), minlength=n), 1)[:, None]
+    variety = distinct(rows, hashes, n)[:, None] / count
+    same = rows[2:] == rows[:-2]
+    triples = ((hashes[2:] * np.uint64(31) + hashes[1:-1]) * np.uint64(31) + hashes[:-2])[same] if len(hashes) > 2 else np.zeros(0, np.uint64)
+    at = rows[2:][same] if len(hashes) > 2 else np.zeros(0, np.int64)
+    fresh = distinct(at, triples, n)[:, None] / np.maximum(np.bincount(at, minlength=n), 1)[:, None]
     return np.concatenate([mean, spread, shares, variety, fresh, np.log1p(count)], 1)
 
 
@@ -163,14 +169,19 @@ def learn(texts: list[str], labels: np.ndarray, hidden: int = 24, epochs: int =
     return m
 
 
-def fit(labelled: DataFrame, rows_each: int = FIT_ROWS) -> Model | None:
-    """A model from (doc_id, text, quality); of each class rows_each rows at most reach the driver. None without both."""
-    got = []
-    for label in (0, 1):
-        got += [(r[0] or "", label, r[1]) for r in labelled.where(F.col("quality") == label).select("text", F.xxhash64("doc_id", F.lit(6)).alias("h")).orderBy("h").limit(rows_each).collect()]
-    got.sort(key=lambda r: r[2])
-    labels = np.array([r[1] for r in got])
-    return learn([r[0] for r in got], labels) if len(set(labels.tolist())) == 2 else None
+def fit(docs: DataFrame, labels: DataFrame, rows_each: int = FIT_ROWS) -> Model | None:
+    """A model from documents and labels (doc_id, quality). Of each class about rows_each rows are drawn by a hash of the
+    id, so what is broadcast and what reaches the driver have that bound. None if a class is missing."""
+    counts = {r[0]: r[1] for r in labels.where("quality in (0, 1)").groupBy("quality").count().collect()}
+    if len(counts) < 2:
+        return None
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 30))
+    share = F.when(F.col("quality") == 0, F.lit(rows_each / counts[0])).otherwise(F.lit(rows_each / counts[1]))
+    drawn = labels.where(F.col("quality").isin(0, 1) & (draw < share * (1 << 30))).select("doc_id", "quality")
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "quality", draw.alias("h")).collect()
+    got = sorted(((r[2], r[0] or "", r[1]) for r in rows))
+    labels_ = np.array([r[2] for r in got])
+    return learn([r[1] for r in got], labels_) if len(set(labels_.tolist())) == 2 else None
 
 
 def _score(batches, shared):
@@ -191,7 +202,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     known = labels.where(F.col("quality").isNotNull() & (test_remainder("doc_id", 4) != 2)).select("doc_id", "quality")
-    return fit(docs.select("doc_id", "text").join(known, "doc_id"))
+    return fit(docs, known)
 
 
 def op6_quality_classifier(spark, sf_dir: str) -> DataFrame:
