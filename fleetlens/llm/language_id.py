@@ -6,6 +6,7 @@ with that bit, corrected for the language's own false-positive rate, and the bes
 four bytes of the lower-cased text in which every run of non-letters is one space.
 """
 
+import functools
 import re
 from dataclasses import dataclass
 
@@ -19,7 +20,7 @@ from fleetlens.llm.common import blocks, test_remainder, utf8
 HASHES = 3
 #: Words of the filter (a power of two); with 64 languages at most it has 8 bytes each.
 SLOTS = 1 << 20
-#: The filter is fitted on so many labelled rows of each language at most, those with the smallest hash.
+#: The filter is fitted on about so many labelled rows of each language, drawn by a hash of the id.
 FIT_ROWS = 1500
 #: An n-gram belongs to a language if so many of its rows there hold it, or this share of them.
 LEAST_ROWS, LEAST_SHARE = 2, 0.004
@@ -106,12 +107,16 @@ def build(rows: list[tuple[str, str]], slots: int = SLOTS) -> Filter:
 
 
 def fit(labelled: DataFrame, rows_each: int = FIT_ROWS) -> Filter:
-    """A filter from (doc_id, text, lang), learned from rows_each rows of each language at most. What reaches the driver
-    is bounded by that and by 64 languages."""
+    """A filter from (doc_id, text, lang), learned from about rows_each rows of each language, drawn by a hash of the id.
+    What reaches the driver is bounded by that and by 64 languages."""
     usable = labelled.where("text is not null and lang is not null")
-    names = [r[0] for r in usable.select("lang").distinct().orderBy("lang").limit(65).collect()]
-    rows = [(r[0], letters(r[1])) for name in names for r in usable.where(F.col("lang") == name).select("lang", "text", F.xxhash64("doc_id", F.lit(5)).alias("h")).orderBy("h").limit(rows_each).collect()]
-    return build(rows)
+    counts = usable.groupBy("lang").count().orderBy("lang").limit(65).collect()
+    if not counts:
+        return build([])
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30))
+    wanted = functools.reduce(lambda a, r: a | (F.col("lang") == r[0]) & (draw < int((1 << 30) * min(1.0, rows_each / r[1]))), counts, F.lit(False))
+    rows = usable.where(wanted).select("lang", "text", draw.alias("h")).collect()
+    return build([(r[0], r[1]) for r in sorted(rows, key=lambda r: (r[0], r[2], r[1]))])
 
 
 def _predict(batches, filter_):
