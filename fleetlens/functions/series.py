@@ -179,8 +179,10 @@ def band(guess: Guess, y: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def autocorrelation(y: np.ndarray, lag: int) -> float:
+    if len(y) < lag + 2:
+        return 0.0
     a, b = y[:-lag], y[lag:]
-    return 0.0 if len(y) <= lag or a.std() < 1e-9 or b.std() < 1e-9 else float(np.corrcoef(a, b)[0, 1])
+    return 0.0 if a.std() < 1e-9 or b.std() < 1e-9 else float(np.corrcoef(a, b)[0, 1])
 
 
 def level_break(x: np.ndarray, y: np.ndarray, season: int | None = None, edge: int = 8, reach: int = 6, sure: float = 4.0, still: float = 2.5, left: int = 16) -> int | None:

@@ -30,8 +30,6 @@ def search(rows: DataFrame, text: str | None = None, equals: dict | None = None,
 
 def platform_stats(rows: DataFrame) -> DataFrame:
     """A-18: totals overall, by provider and by category."""
-    from pyspark.sql import GroupedData  # noqa: F401
-
     return rows.groupingSets([[], ["provider"], ["category"]], "provider", "category").agg(F.count_distinct("resource_id").alias("resources"), F.count_distinct("project").alias("projects"), F.sum((F.col("risk") >= 75).cast("long")).alias("high"), C.r(F.avg("risk")).alias("mean_risk"))
 
 
@@ -63,7 +61,7 @@ def explanation(risk: Column, category: Column, z: Column, burst: Column, forest
     )
     return F.concat_ws(
         " ",
-        F.format_string("Risk %.1f of 100 for this %s resource.", risk, category),
+        F.format_string("Risk %.1f of 100 for this %s resource.", C.r(risk, 1), category),
         F.when(drivers == "", "No single signal stands out.").otherwise(drivers),
         F.when(trend == "stable", "There is no marked trend.").when(trend.isNotNull(), F.format_string("%s is %s by about %.2f an hour (reliability: %s).", name, trend, F.abs(day_change) / 24, reliability)),
         F.when(profile_confidence.isNotNull(), F.format_string("Profile confidence %.2f from %d days.", profile_confidence, profile_days.cast("long"))),
