@@ -7,7 +7,9 @@ letters and digits joined by one space, so line breaks, comment signs and punctu
 """
 
 import functools
+from collections import Counter
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -54,7 +56,7 @@ def pieces(notice: str, edits: int) -> list[tuple[int, bytes]]:
 def patterns() -> list:
     out = []
     for notice, label, edits in NOTICES:
-        out.append((label, len(notice), edits, pieces(notice, edits), regex.compile(b"(?b)(?:" + regex.escape(notice.encode(), special_only=True) + b"){e<=%d}" % edits)))
+        out.append((label, len(notice), edits, pieces(notice, edits), regex.compile(b"(?e)(?:" + regex.escape(notice.encode(), special_only=True) + b"){e<=%d}" % edits)))
     return out
 
 
@@ -74,16 +76,24 @@ def seeds() -> dict[bytes, list[tuple[int, int]]]:
     return out
 
 
+@functools.cache
+def automaton():
+    """All pieces in one pass; bytes are read as Latin-1 letters, so positions are byte positions."""
+    out = ahocorasick.Automaton()
+    for piece in seeds():
+        out.add_word(piece.decode("latin-1"), piece)
+    out.make_automaton()
+    return out
+
+
 def windows(line: bytes) -> list[tuple[int, int, int]]:
     """(notice, from, to) where a notice can stand, those of one notice merged where they overlap."""
     found: dict[int, list[tuple[int, int]]] = {}
-    for piece, owners in seeds().items():
-        at = line.find(piece)
-        while at >= 0:
-            for k, offset in owners:
-                _, length, edits, _, _ = patterns()[k]
-                found.setdefault(k, []).append((max(0, at - offset - edits - 1), min(len(line), at - offset + length + edits + 1)))
-            at = line.find(piece, at + 1)
+    for end, piece in automaton().iter(line.decode("latin-1")):
+        at = end + 1 - len(piece)
+        for k, offset in seeds()[piece]:
+            _, length, edits, _, _ = patterns()[k]
+            found.setdefault(k, []).append((max(0, at - offset - edits - 1), min(len(line), at - offset + length + edits + 1)))
     out = []
     for k, spans in found.items():
         spans.sort()
@@ -95,7 +105,22 @@ def windows(line: bytes) -> list[tuple[int, int, int]]:
                 out.append((k, *now))
                 now = [a, b]
         out.append((k, *now))
-    return out
+    return [(k, a, b) for k, a, b in out if can_hold(k, line[a:b])]
+
+
+def pairs(raw: bytes) -> Counter:
+    return Counter(zip(raw, raw[1:], strict=False))
+
+
+@functools.cache
+def notice_pairs() -> list[Counter]:
+    return [pairs(notice.encode()) for notice, _, _ in NOTICES]
+
+
+def can_hold(k: int, window: bytes) -> bool:
+    """Whether a window has enough of a notice's letter pairs: an edit spoils two at most, so too few rule a match out."""
+    own = notice_pairs()[k]
+    return (own & pairs(window)).total() >= own.total() - 2 * NOTICES[k][2]
 
 
 def scan(line: bytes) -> tuple[list[tuple[str, int]], list[tuple[str, int, int, int]]]:
