@@ -14,7 +14,7 @@ from fleetlens.llm.common import cut, drop_cut
 SHARDS = 24
 ROUNDS = 5
 #: Groups' labels are joined to documents in so many slices, so that one large group is spread over tasks.
-SLICES = 16
+SLICES = 24
 #: A numbering is made in so many parts, whose sizes are then summed.
 PARTS = 512
 
@@ -42,20 +42,27 @@ def totals(rows: DataFrame, shards: int, value: Column) -> list[int]:
 
 
 def propagate(linked: DataFrame, quota: list[int], turn: int, slices: int = SLICES) -> DataFrame:
-    """One round over linked (row, gid, shard, slice): documents move towards their group's strongest open shard."""
+    """One round over linked (row, gid, shard, slice). A group's homes are the shards where most of it stands, as many as
+    have room for it, open ones first; its other members move to a home as far as quotas allow."""
     shards = len(quota)
     counts = linked.groupBy("gid", "shard").agg(F.count("*").alias("n"))
     load = totals(counts, shards, F.col("n"))
     free = [max(0, q - x) for q, x in zip(quota, load, strict=True)]
-    rank = F.struct(F.col("n"), F.xxhash64("gid", "shard").alias("tie"))
-    ranked = counts.withColumn("rank", rank)
-    target = ranked.where(pick(free, "shard") > 0).groupBy("gid").agg(F.max_by("shard", "rank").alias("to"), F.max("rank").alias("best"))
-    moves = ranked.join(target, "gid").where("best > rank")
-    moves = moves.select("gid", "shard", "n", "to", F.struct(-F.floor(F.log2(F.col("best.n"))), F.pmod(F.xxhash64("gid"), F.lit(64))).alias("turn"))
+    own = Window.partitionBy("gid")  # at most as many rows as there are shards
+    good = (pick(free, "shard") > 0) | (2 * F.col("n") >= pick(quota, "shard"))
+    ranked = counts.withColumn("place", F.row_number().over(own.orderBy(F.desc(good), F.desc("n"), F.xxhash64("gid", "shard"))))
+    room = F.col("n") + pick(free, "shard")
+    ahead = F.sum(room).over(own.orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
+    ranked = ranked.withColumn("is_home", F.coalesce(ahead, F.lit(0)) < F.sum("n").over(own)).withColumn("best", F.max("n").over(own))
+    ranked = ranked.withColumn("homes", F.sum(F.col("is_home").cast("int")).over(own).cast("int"))
+    home = ranked.where("place <= homes").select("gid", F.col("place").alias("goal"), F.col("shard").alias("to"))
+    away = ranked.where("place > homes").select("gid", "shard", "n", "homes", "best", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
+    moves = away.withColumn("goal", F.pmod("slice", "homes") + 1).join(home, ["gid", "goal"])
+    moves = moves.select("gid", "shard", "slice", "to", (F.col("n") / slices).alias("n"), F.struct(-F.floor(F.log2("best")), F.pmod(F.xxhash64("gid"), F.lit(64))).alias("turn"))
     wanted = moves.groupBy("to", "turn").agg(F.sum("n").alias("want"))  # bounded: shards x magnitudes x 64
     before = F.sum("want").over(Window.partitionBy("to").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1))
     share = wanted.withColumn("share", (pick(free, "to") - F.coalesce(before, F.lit(0))) / F.col("want")).drop("want").where("share > 0")
-    allowed = moves.join(F.broadcast(share), ["to", "turn"]).select("gid", "shard", "to", "share", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
+    allowed = moves.join(F.broadcast(share), ["to", "turn"]).select("gid", "shard", "slice", "to", "share")
     drawn = F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(1 << 20)) / F.lit(1 << 20)
     return linked.join(allowed, ["gid", "shard", "slice"], "left").select("row", "gid", F.when(drawn < F.col("share"), F.col("to")).otherwise(F.col("shard")).alias("shard"), "slice")
 
