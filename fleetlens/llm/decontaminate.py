@@ -196,8 +196,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without those that leak an item."""
-    found = leaks(docs, benchmark).select(F.col("doc_id").alias("_d")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_d")), "left_anti")
+    found = leaks(docs, benchmark).select(F.col("doc_id").alias("__leak")).distinct()
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__leak")), "left_anti")
 
 
 def op3_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -161,9 +161,10 @@ def keep_known(docs: DataFrame, least: float = UNKNOWN) -> DataFrame:
     """docs without the texts that are `und` or whose n-grams are known to no language. The text is read once: the
     prediction carries the other columns along."""
     model = train(docs)
-    plain = docs.withColumn("_text", F.col("text"))
-    out = identify(plain, model, ["_text", *[c for c in docs.columns if c not in ("doc_id", "text")]])
-    return out.where((F.col("lang_pred") != UND) & (F.col("known_share") >= least)).withColumnRenamed("_text", "text").select(*docs.columns)
+    held = [f"__held_{k}" for k in range(len(docs.columns))]  # so that no column clashes with the prediction's
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(f"`{c}`").alias(h) for c, h in zip(docs.columns, held, strict=True)])
+    out = identify(plain, model, held).where((F.col("lang_pred") != UND) & (F.col("known_share") >= least))
+    return out.select(*[F.col(h).alias(c) for c, h in zip(docs.columns, held, strict=True)])
 
 
 def op4_language_id(spark, sf_dir: str) -> DataFrame:

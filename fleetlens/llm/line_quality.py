@@ -94,11 +94,11 @@ def line_quality(docs: DataFrame, host: str = "source", limit: int = LINE_LIMIT,
 def strip_lines(docs: DataFrame, host: str = "source", limit: int = LINE_LIMIT) -> DataFrame:
     """docs with the boilerplate lines taken out of text; each document's own boilerplate hashes come back as one array."""
     lines = lines_of(docs, host)
-    hits = lines.join(boilerplate(lines, limit), ["host", "line"], "left_semi").groupBy(F.col("doc_id").alias("_d"), F.col("content").alias("_c")).agg(F.collect_set("line").alias("_gone"))
+    hits = lines.join(boilerplate(lines, limit), ["host", "line"], "left_semi").groupBy(F.col("doc_id").alias("__d"), F.col("content").alias("__c")).agg(F.collect_set("line").alias("__gone"))
     hashed = lambda x: F.xxhash64(F.trim(F.regexp_replace(F.lower(x), SPACES, " ")))
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(F.col("_gone"), hashed(x))), "\n")
-    joined = docs.withColumn("_content", F.xxhash64("text")).join(hits, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_content") == F.col("_c")), "left")
-    return joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(F.col("__gone"), hashed(x))), "\n")
+    joined = docs.withColumn("__content", F.xxhash64("text")).join(hits, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__content") == F.col("__c")), "left")
+    return joined.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)
 
 
 def op2_line_quality(spark, sf_dir: str) -> DataFrame:

@@ -122,8 +122,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, bucket: int = BUCKET)
 
 def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The rows of docs whose doc_id is the smallest of their component."""
-    first = near_duplicates(docs, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_d")).distinct()
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi")
+    first = near_duplicates(docs, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__first")).distinct()
+    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
 
 
 def op9_simhash(spark, sf_dir: str) -> DataFrame:

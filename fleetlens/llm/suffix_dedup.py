@@ -97,7 +97,7 @@ def _split(batches, shared, want: bool):
 def split(docs: DataFrame, shared, want: bool) -> DataFrame:
     """The rows of docs that the filter says may (want) or surely do not have a repeat."""
     bit = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FILTER_BITS))
-    return docs.withColumn("_bit", bit).mapInArrow(lambda it: _split(it, shared, want), docs.schema)
+    return docs.withColumn("__bit", bit).mapInArrow(lambda it: _split(it, shared, want), docs.schema)
 
 
 _SEGMENT_SCHEMA = "shard int, doc_id long, start int, piece binary"
@@ -218,7 +218,7 @@ def _digest(batches):
 def _shorten(batches):
     for batch in batches:
         texts = []
-        for text, spans in zip(batch.column("text"), batch.column("spans").to_pylist(), strict=True):
+        for text, spans in zip(batch.column("text"), batch.column("__spans").to_pylist(), strict=True):
             raw = (text.as_py() or "").encode()
             texts.append(without(raw, whole_characters(raw, merged(spans, len(raw)))).decode() if spans else text.as_py())
         names = batch.schema.names[:-1]
@@ -236,7 +236,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     shared = id_filter(spans)
     shape = docs.schema
     touched = split(docs, shared, True)
-    joined = touched.join(spans.withColumnRenamed("doc_id", "_d"), F.col("doc_id") == F.col("_d"), "left").select(*[F.col(f"`{c}`") for c in docs.columns], "spans")
+    joined = touched.join(spans.select(F.col("doc_id").alias("__doc"), F.col("spans").alias("__spans")), F.col("doc_id") == F.col("__doc"), "left").select(*[F.col(f"`{c}`") for c in docs.columns], "__spans")
     short = joined.mapInArrow(_shorten, shape)
     if "n_chars" in docs.columns:
         short = short.withColumn("n_chars", F.length("text").cast(shape["n_chars"].dataType)).select(*docs.columns)
