@@ -137,9 +137,9 @@ def feedback_labels(predictions: DataFrame, incidents: DataFrame, now: DataFrame
     i = incidents.select(F.col("resource_id").alias("i_resource"), "opened_at")
     window = (F.col("resource_id") == F.col("i_resource")) & (F.col("opened_at") >= F.col("ts")) & (F.col("opened_at") <= F.col("ts") + F.make_dt_interval(hours=F.lit(int(hit_hours))))
     first = predictions.join(i, window).groupBy("prediction_id").agg(F.min("opened_at").alias("outcome_at"))
-    out = predictions.join(first, "prediction_id", "left").join(F.broadcast(now), how="cross")  # now is one row
-    age = C.hours_between(F.col("ts"), F.col("now"))
-    return out.withColumn("label", F.when(F.col("outcome_at").isNotNull(), "TP").when(age >= miss_hours, "FP").otherwise("unknown")).drop("now")
+    out = predictions.join(first, "prediction_id", "left")
+    age = C.hours_between(F.col("ts"), now.scalar())
+    return out.withColumn("label", F.when(F.col("outcome_at").isNotNull(), "TP").when(age >= miss_hours, "FP").otherwise("unknown"))
 
 
 def feedback_metrics(labels: DataFrame) -> DataFrame:

@@ -106,5 +106,5 @@ def label_stats(rows: DataFrame) -> DataFrame:
 
 def stale_feedback(labels: DataFrame, now: DataFrame, days: float = 2) -> DataFrame:
     """A-27: categories whose newest outcome is older than some days."""
-    out = labels.groupBy("category").agg(F.max("outcome_at").alias("newest")).join(F.broadcast(now), how="cross")  # now is one row
-    return out.select("category", "newest", C.is_true((C.hours_between(F.col("newest"), F.col("now")) > 24 * days) | F.col("newest").isNull()).alias("stale"))
+    out = labels.groupBy("category").agg(F.max("outcome_at").alias("newest"))
+    return out.select("category", "newest", C.is_true((C.hours_between(F.col("newest"), now.scalar()) > 24 * days) | F.col("newest").isNull()).alias("stale"))

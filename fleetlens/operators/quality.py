@@ -12,8 +12,8 @@ def last_seen(rows: DataFrame) -> DataFrame:
 
 def stale_resources(rows: DataFrame, now: DataFrame, most_minutes: float) -> DataFrame:
     """F-3: resources whose newest reading is older than a limit; now: one row with a column now."""
-    age = C.hours_between(F.col("last_seen"), F.col("now")) * 60
-    return last_seen(rows).join(F.broadcast(now), how="cross").select("resource_id", F.bround(age, 1).alias("age_minutes")).where(F.col("age_minutes") > most_minutes)
+    age = C.hours_between(F.col("last_seen"), now.scalar()) * 60
+    return last_seen(rows).select("resource_id", F.bround(age, 1).alias("age_minutes")).where(F.col("age_minutes") > most_minutes)
 
 
 def history_hours(rows: DataFrame) -> DataFrame:

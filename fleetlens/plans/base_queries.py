@@ -86,7 +86,7 @@ def category_scan(spark, d):
 def window_scan(spark, d):
     t = A.telemetry(spark, d)
     now = t.agg(F.max("ts").alias("now"))
-    return t.join(F.broadcast(now), F.col("ts") >= F.col("now") - F.expr("interval 1440 minutes")).select(*SERIES, "ts", "value")
+    return t.where(F.col("ts") >= now.scalar() - F.expr("interval 1440 minutes")).select(*SERIES, "ts", "value")
 
 
 # ---------------------------------------------------------------- enrichment
@@ -179,7 +179,7 @@ pt AS (SELECT event_id, t.resource_id, t.category, t.provider, coalesce(pl.raw_m
 @query(f"SELECT category, feature, provider, raw_metric, transform, CAST(precedence AS INTEGER) AS precedence, n FROM {values_sql(rules())} AS v(category, feature, provider, raw_metric, transform, precedence), (SELECT count(*) AS n FROM events) ")
 def registry_rules(spark, d):
     n = catalog.Catalog(spark, d).read("events").agg(F.count("*").alias("n"))
-    return normalize.rule_table(spark).join(F.broadcast(n), how="cross")
+    return normalize.rule_table(spark).withColumn("n", n.scalar())
 
 
 @query(f"WITH {N_SQL} SELECT resource_id, category, provider, metric, ts, value, stat, vmax, vmin, sample_count FROM pt")

@@ -126,9 +126,9 @@ RULES = [("click", "gte", 150.0), ("view", "gt", 200.0), ("error", "lt", 5.0), (
 
 def rules(spark, d):
     """One rule per resource and metric: the four templates for every third resource."""
-    base = spark.createDataFrame(RULES, "metric_name string, operator string, limit double")
     ids = typed(spark, d).where("cast(substr(resource_id, 2) as int) % 3 = 0").select("resource_id").distinct()
-    return ids.join(F.broadcast(base), how="cross")  # four templates
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("metric_name"), F.lit(o).alias("operator"), F.lit(x).alias("limit")) for m, o, x in RULES]))
+    return ids.select("resource_id", each.alias("r")).select("resource_id", "r.*")
 
 
 def readings(spark, d):

@@ -111,7 +111,7 @@ def zero_kinds(spark, d):
 @query(f"WITH {P_SQL}, n AS (SELECT max(ts) AS now FROM p) SELECT event_id, CASE WHEN (epoch_us(now) - epoch_us(ts)) / 1e6 / 60 > 0 AND (epoch_us(now) - epoch_us(ts)) / 1e6 / 60 <= 15 THEN now ELSE ts END AS ts FROM p, n")
 def late_arrivals(spark, d):
     t = typed(spark, d)
-    return t.join(F.broadcast(t.agg(F.max("ts").alias("now"))), how="cross").select("event_id", quality.late_arrival(F.col("ts"), F.col("now")).alias("ts"))
+    return t.select("event_id", quality.late_arrival(F.col("ts"), t.agg(F.max("ts")).scalar()).alias("ts"))
 
 
 @query(f"WITH {N_SQL}, q AS (SELECT category, provider, metric, count(*) AS documents FROM pt GROUP BY ALL) SELECT q.metric, sum(documents)::BIGINT AS documents FROM q WHERE NOT EXISTS (SELECT 1 FROM reg WHERE reg.category = q.category AND reg.provider = q.provider AND reg.raw_metric = q.metric) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 50")
