@@ -1,14 +1,16 @@
 """Removal of repeated passages with suffix arrays made by external induced sorting.
 
-A byte goes if a 100-byte string over it also starts earlier in the corpus. Strings are found in three steps.
+A byte goes if a 100-byte string over it also starts earlier in the corpus. Strings are found in four steps.
 
 1. Every text is sampled by content: of each 100-byte window the 24-byte string with the smallest hash is its anchor, so
    equal windows have equal anchors at equal places. Anchors that occur once in the corpus are left behind; no window
    that repeats is.
 2. Around each anchor that is left, the bytes that its windows can reach are a segment. Equal segments are one, with its
    first place; what stands at the other places is a repeat.
-3. Segments are dealt by anchor to shards, whose suffixes are sorted (module induced_sort). Windows whose suffixes share
-   100 bytes or more with their neighbours in that order are equal, and all but the first place are repeats.
+3. A window that stands in two different segments has the same bytes around its anchor in both, a core of 81 bytes at
+   one of four places; segments without such a core in common with another cannot share a window and are done.
+4. The other segments are dealt by anchor to shards, whose suffixes are sorted (module induced_sort). Windows whose
+   suffixes share 100 bytes or more with their neighbours in that order are equal, and all but the first are repeats.
 
 Shards get about SHARD_BYTES each. A shard that is larger, because one anchor has very many contexts, still sorts: its
 queues are on disk beyond QUEUE_BYTES.
@@ -18,6 +20,8 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +29,7 @@ from fleetlens.llm.common import Rolling, blocks, cut, drop_cut, mix, utf8
 from fleetlens.llm.induced_sort import Induction
 
 LENGTH, ANCHOR = 100, 24
-SHARD_BYTES, QUEUE_BYTES = 4 << 20, 128 << 20
+SHARD_BYTES, QUEUE_BYTES = 1 << 20, 64 << 20
 #: Bits of the filter of documents with repeats; it has this size whatever the input, and only saves shuffling.
 FILTER_BITS = 1 << 26
 
@@ -61,7 +65,7 @@ def _anchors(batches, length: int, size: int):
     for batch in batches:
         data, offsets = utf8(batch.column(1))
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for a, b in blocks(offsets, 1 << 21):
+        for a, b in blocks(offsets, 1 << 19):
             part = offsets[a : b + 1] - offsets[a]
             block = data[offsets[a] : offsets[b]]
             row = np.repeat(np.arange(b - a), np.diff(part))
@@ -100,19 +104,44 @@ def split(docs: DataFrame, shared, want: bool) -> DataFrame:
     return docs.withColumn("__bit", bit).mapInArrow(lambda it: _split(it, shared, want), docs.schema)
 
 
-_SEGMENT_SCHEMA = "shard int, doc_id long, start int, piece binary"
+_SEGMENT_SCHEMA = "anchor long, doc_id long, start int, piece binary, cores array<long>"
+#: A window lies in one of so many cells by where its anchor is in it; windows of a cell share a core around the anchor.
+CELLS = 4
 
 
-def _segments(batches, shards: int):
+#: Segments are sent to Spark in batches of so many, so that a task holds few at once.
+BATCH = 8192
+
+
+def structs(column: pa.Array, *fields: str) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of a column of arrays of structs: where each row's entries begin (and the last end), and the fields' values."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    entries = column.flatten()
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), [entries.field(f).to_numpy(zero_copy_only=False) for f in fields]
+
+
+def _segments(batches, length: int, size: int):
+    step = -(-(length - size) // CELLS)
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
+
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["anchor", "doc_id", "start", "piece", "cores"])
+
     for batch in batches:
-        out: list[list] = [[], [], [], []]
-        for doc, text, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-            raw = text.as_py().encode()
-            for p in places:
-                start = p["pos"] - (p["ext"] >> 8)
-                for column, value in zip(out, (p["anchor"] % shards, doc, start, raw[start : p["pos"] + (p["ext"] & 255)]), strict=True):
-                    column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["shard", "doc_id", "start", "piece"])
+        offsets, (positions, extents, anchors_) = structs(batch.column(2), "pos", "ext", "anchor")
+        rows = []
+        for i, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
+            raw, own = text.as_py().encode(), slice(offsets[i], offsets[i + 1])
+            for at, ext, anchor in zip(positions[own].tolist(), extents[own].tolist(), anchors_[own].tolist(), strict=True):
+                spans = [(at - step * j, at + length - step * (j + 1)) for j in range(CELLS)]
+                cores = [xxhash.xxh64_intdigest(raw[a:b], j) - (1 << 63) for j, (a, b) in enumerate(spans) if a >= 0 and b <= len(raw)]
+                start = at - (ext >> 8)
+                rows.append((anchor, doc, start, raw[start : at + (ext & 255)], cores))
+            if len(rows) >= BATCH:
+                yield batch_of(rows)
+                rows = []
+        if rows:
+            yield batch_of(rows)
 
 
 def repeated_windows(docs: np.ndarray, starts: np.ndarray, pieces: list[bytes], length: int = LENGTH, budget: int = QUEUE_BYTES, small: int = 1 << 22) -> list[tuple[int, int, int]]:
@@ -165,22 +194,28 @@ def repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shard_b
     start, end = F.col("pos") - F.shiftright("ext", 8), F.col("pos") + F.col("ext").bitwiseAND(255)
     copies = known.where("again").select("doc_id", start.alias("a"), end.alias("b")).where(F.col("b") - F.col("a") >= length)
     owners = known.where("not again").select("doc_id", "pos", "ext", "anchor").dropDuplicates(["doc_id", "pos"])
-    shards = max(1, -(-known.where("not again").count() * (2 * length - anchor) // shard_bytes))
     places = owners.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "ext", "anchor")).alias("places"))  # as many as the document's anchors
     few = split(texts, id_filter(owners), True)
-    segments = few.join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(lambda it: _segments(it, shards), _SEGMENT_SCHEMA)
+    pieces = cut(few.join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(lambda it: _segments(it, length, anchor), _SEGMENT_SCHEMA))
+    cores = pieces.select("anchor", "doc_id", "start", F.explode("cores").alias("core"))
+    shared = cores.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    alike = cores.join(shared, "core", "left_semi").select("anchor", "doc_id", "start").distinct()
+    chosen = cut(pieces.join(alike, ["anchor", "doc_id", "start"], "left_semi").select("anchor", "doc_id", "start", "piece"))
+    shards = max(1, -(-chosen.count() * (2 * length - anchor) // shard_bytes))
+    segments = chosen.withColumn("shard", F.pmod("anchor", F.lit(shards)).cast("int")).select("shard", "doc_id", "start", "piece")
     sorted_ = segments.groupBy("shard").applyInArrow(lambda t: _sort_shard(t, length, budget, small), "doc_id long, a int, b int")
     return cut(copies.union(sorted_).groupBy("doc_id").agg(F.collect_set(F.struct("a", "b")).alias("spans")))
 
 
-def merged(spans: list[dict] | None, size: int) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for a, b in sorted((s["a"], min(s["b"], size)) for s in spans or []):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        elif b > a:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+def merged(starts: np.ndarray, ends: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """Ranges that touch or overlap joined, cut at size."""
+    order = np.argsort(starts, kind="stable")
+    a, b = starts[order].astype(np.int64), np.maximum.accumulate(np.minimum(ends[order].astype(np.int64), size))
+    if not len(a):
+        return []
+    first = np.flatnonzero(np.concatenate([[True], a[1:] > b[:-1]]))
+    last = np.append(first[1:], len(a)) - 1
+    return [(x, y) for x, y in zip(a[first].tolist(), b[last].tolist(), strict=True) if y > x]
 
 
 def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -206,10 +241,11 @@ def whole_characters(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int
 
 def _digest(batches):
     for batch in batches:
+        offsets, (starts, ends) = structs(batch.column(2), "a", "b")
         rows = []
-        for doc, text, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-            raw = (text.as_py() or "").encode()
-            gone = merged(spans, len(raw))
+        for i, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
+            raw, own = (text.as_py() or "").encode(), slice(offsets[i], offsets[i + 1])
+            gone = merged(starts[own], ends[own], len(raw))
             rows.append((doc, len(raw), sum(b - a for a, b in gone), len(gone), hashlib.sha256(without(raw, gone)).hexdigest()))
         columns = list(zip(*rows, strict=True)) or [()] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [*[pa.int64()] * 4, pa.string()], strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
@@ -217,10 +253,12 @@ def _digest(batches):
 
 def _shorten(batches):
     for batch in batches:
+        offsets, (starts, ends) = structs(batch.column("__spans"), "a", "b")
         texts = []
-        for text, spans in zip(batch.column("text"), batch.column("__spans").to_pylist(), strict=True):
-            raw = (text.as_py() or "").encode()
-            texts.append(without(raw, whole_characters(raw, merged(spans, len(raw)))).decode() if spans else text.as_py())
+        for i, text in enumerate(batch.column("text")):
+            raw, own = (text.as_py() or "").encode(), slice(offsets[i], offsets[i + 1])
+            gone = whole_characters(raw, merged(starts[own], ends[own], len(raw)))
+            texts.append(without(raw, gone).decode() if gone else text.as_py())
         names = batch.schema.names[:-1]
         yield pa.RecordBatch.from_arrays([pa.array(texts, batch.schema.field("text").type) if n == "text" else batch.column(n) for n in names], names)
 

@@ -213,7 +213,8 @@ def test_suffix_dedup_by_tiny_shards_and_queues(docs):
     spans = {r.doc_id: r.spans for r in suffix_dedup.repeats(df, shard_bytes=2000, budget=500, small=8).collect()}
     want = brute_repeats(rows)
     for doc, text in rows:
-        gone = suffix_dedup.merged([s.asDict() for s in spans.get(doc, [])], len(text.encode()))
+        own = np.array([(s.a, s.b) for s in spans.get(doc, [])], np.int64).reshape(-1, 2)
+        gone = suffix_dedup.merged(own[:, 0], own[:, 1], len(text.encode()))
         assert (sum(b - a for a, b in gone), len(gone)) == want[doc][1:3]
 
 
