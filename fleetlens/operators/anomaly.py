@@ -70,26 +70,45 @@ def _length(n: np.ndarray) -> np.ndarray:
 
 
 def grow(x: np.ndarray, seed: int = 42, trees: int = TREES) -> list[np.ndarray]:
-    """Trees as arrays of (feature or -1, threshold, left child, right child, points)."""
+    """Trees as arrays of (feature or -1, threshold, left child, right child, points), grown level by level: all nodes of
+    a level are cut at once."""
     rng = np.random.default_rng(seed)
-    n = min(SAMPLE, len(x))
+    n, width = min(SAMPLE, len(x)), x.shape[1]
     most = max(1, int(np.ceil(np.log2(max(n, 2)))))
     forest = []
     for _ in range(trees):
-        nodes = [[-1, 0.0, 0, 0, n]]
-        todo = [(0, x[rng.choice(len(x), n, replace=False)], 0)]
-        while todo:
-            at, part, depth = todo.pop()
-            spread = np.flatnonzero(part.max(0) > part.min(0)) if len(part) > 1 else []
-            if depth >= most or not len(spread):
-                continue
-            f = rng.choice(spread)
-            cut = rng.uniform(part[:, f].min(), part[:, f].max())
-            left = part[:, f] <= cut
-            nodes[at][:4] = [f, cut, len(nodes), len(nodes) + 1]
-            nodes += [[-1, 0.0, 0, 0, int(left.sum())], [-1, 0.0, 0, 0, int((~left).sum())]]
-            todo += [(nodes[at][2], part[left], depth + 1), (nodes[at][3], part[~left], depth + 1)]
-        forest.append(np.array(nodes))
+        part = x[rng.choice(len(x), n, replace=False)]
+        at = np.zeros(n, np.int64)
+        tree = np.array([[-1.0, 0, 0, 0, n]])
+        level = np.array([0])
+        for _ in range(most):
+            order = np.argsort(at, kind="stable")
+            rows, nodes = part[order], at[order]
+            first = np.searchsorted(nodes, level)
+            low, high = np.minimum.reduceat(rows, first), np.maximum.reduceat(rows, first)
+            luck = np.where(high > low, rng.random((len(level), width)), -1.0)
+            f = luck.argmax(1)
+            open_ = luck.max(1) >= 0
+            if not open_.any():
+                break
+            pick = np.flatnonzero(open_)
+            ids, f = level[pick], f[pick]
+            cut = rng.uniform(low[pick, f], high[pick, f])
+            left = len(tree) + 2 * np.arange(len(ids))
+            tree[ids, :4] = np.stack([f, cut, left, left + 1], 1)
+            slot = np.full(len(tree), -1)
+            slot[ids] = np.arange(len(ids))
+            moving = np.flatnonzero(slot[at] >= 0)
+            k = slot[at[moving]]
+            at[moving] = left[k] + (part[moving, f[k]] > cut[k])
+            sizes = np.bincount(at[moving] - len(tree), minlength=2 * len(ids))
+            new = np.zeros((2 * len(ids), 5))
+            new[:, 0], new[:, 4] = -1, sizes
+            level = len(tree) + np.flatnonzero(sizes)
+            at_done = np.isin(at, level)
+            tree = np.concatenate([tree, new])
+            part, at = part[at_done], at[at_done]
+        forest.append(tree)
     return forest
 
 
