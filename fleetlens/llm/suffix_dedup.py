@@ -185,8 +185,10 @@ def repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shard_b
     may touch or overlap."""
     texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = texts.mapInArrow(lambda it: _anchors(it, length, anchor), _ANCHOR_SCHEMA)
-    often = found.select("anchor").groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # written first, so that the join has exchanges of its own, whose large partitions Spark splits
+    often = cut(found.select("anchor").groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     twice = cut(found.join(often, "anchor", "left_semi"))
+    drop_cut(docs.sparkSession, often)
     place = F.struct("doc_id", "pos")
     firsts = twice.groupBy("anchor", "content").agg(F.min(place).alias("first"))
     known = cut(twice.join(firsts, ["anchor", "content"]).select("doc_id", "pos", "ext", "anchor", (place > F.col("first")).alias("again")))
