@@ -113,7 +113,7 @@ def pooled(data: np.ndarray, offsets: np.ndarray, vectors: np.ndarray) -> np.nda
 
 def features(texts: list[str], vectors: np.ndarray) -> np.ndarray:
     data, offsets = utf8(pa.array(texts, pa.large_string()))
-    out = [pooled(data[(p := offsets[a : b + 1])[0] : p[-1]], p - p[0], vectors) for a, b in blocks(offsets)]
+    out = [pooled(data[(p := offsets[a : b + 1])[0] : p[-1]], p - p[0], vectors) for a, b in blocks(offsets, 1 << 20)]
     return np.concatenate(out) if out else np.zeros((0, 2 * SIZE + 6))
 
 
