@@ -64,6 +64,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def slices(batches, rows: int = 1024):
+    """The same rows in batches of fewer, so that what a task makes of a batch stays small."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def blocks(offsets: np.ndarray, most: int = 1 << 22):
     """Ranges (first, last+1) of rows holding about `most` bytes each; a longer row stands alone."""
     first, n = 0, len(offsets) - 1
@@ -146,4 +153,4 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root").union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-__all__ = ["Rolling", "blocks", "components", "cut", "drop_cut", "mix", "shared_dir", "table", "test_remainder", "utf8"]
+__all__ = ["Rolling", "blocks", "components", "cut", "drop_cut", "mix", "shared_dir", "slices", "table", "test_remainder", "utf8"]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import blocks, test_remainder, utf8
+from fleetlens.llm.common import blocks, slices, test_remainder, utf8
 
 HASHES = 3
 #: Words of the filter (a power of two); with 64 languages at most it has 8 bytes each.
@@ -119,9 +119,9 @@ def fit(labelled: DataFrame, rows_each: int = FIT_ROWS) -> Filter:
     return build([(r[0], r[1]) for r in sorted(rows, key=lambda r: (r[0], r[2], r[1]))])
 
 
-def _predict(batches, filter_):
+def _predict(batches, filter_, with_text: bool):
     model: Filter = filter_.value
-    for batch in batches:
+    for batch in slices(batches):
         texts = [letters(t.as_py() or "") for t in batch.column(1)]
         data, offsets = utf8(pa.array(texts, pa.large_string()))
         names, scores, cover = [], [], []
@@ -135,11 +135,12 @@ def _predict(batches, filter_):
                 else:
                     total = shares[i].sum()
                     names.append(model.languages[k]), scores.append(float(shares[i, k] / total) if total > 0 else 0.0), cover.append(float(shares[i, k]))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:1], *batch.columns[2:], pa.array(names), pa.array(scores, pa.float64()), pa.array(cover, pa.float64())], [batch.schema.names[0], *batch.schema.names[2:], "lang_pred", "score", "known_share"])
+        kept = [k for k in range(batch.num_columns) if k != 1 or with_text]
+        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(cover, pa.float64())], [*(batch.schema.names[k] for k in kept), "lang_pred", "score", "known_share"])
 
 
-def identify(docs: DataFrame, model: Filter, keep: list[str] | None = None) -> DataFrame:
-    """doc_id, the columns named in keep, lang_pred, score (the best language's part of all corrected shares) and
+def identify(docs: DataFrame, model: Filter, keep: list[str] | None = None, with_text: bool = False) -> DataFrame:
+    """doc_id, the text if it is wanted, the columns named in keep, lang_pred, score (the best language's part of all corrected shares) and
     known_share (its own corrected share).
 
     A text that is null or has no letter is `und` with score 0; any length is read whole; repeated rows get the same
@@ -149,8 +150,8 @@ def identify(docs: DataFrame, model: Filter, keep: list[str] | None = None) -> D
     keep = keep or []
     shared = docs.sparkSession.sparkContext.broadcast(model)  # slots x 8 bytes at most
     fields = {f.name: f for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {fields[c].dataType.simpleString()}" for c in ["doc_id", *keep]) + ", lang_pred string, score double, known_share double"
-    return docs.select("doc_id", "text", *keep).mapInArrow(lambda it: _predict(it, shared), schema)
+    schema = ", ".join(f"`{c}` {fields[c].dataType.simpleString()}" for c in ["doc_id", *["text"] * with_text, *keep]) + ", lang_pred string, score double, known_share double"
+    return docs.select("doc_id", "text", *keep).mapInArrow(lambda it: _predict(it, shared, with_text), schema)
 
 
 def train(docs: DataFrame) -> Filter:
@@ -161,10 +162,10 @@ def keep_known(docs: DataFrame, least: float = UNKNOWN) -> DataFrame:
     """docs without the texts that are `und` or whose n-grams are known to no language. The text is read once: the
     prediction carries the other columns along."""
     model = train(docs)
-    held = [f"__held_{k}" for k in range(len(docs.columns))]  # so that no column clashes with the prediction's
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(f"`{c}`").alias(h) for c, h in zip(docs.columns, held, strict=True)])
-    out = identify(plain, model, held).where((F.col("lang_pred") != UND) & (F.col("known_share") >= least))
-    return out.select(*[F.col(h).alias(c) for c, h in zip(docs.columns, held, strict=True)])
+    held = {c: "text" if c == "text" else f"__held_{k}" for k, c in enumerate(docs.columns)}  # so that none clashes with the prediction's
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(f"`{c}`").alias(h) for c, h in held.items()])
+    out = identify(plain, model, [h for h in held.values() if h != "text"], with_text=True).where((F.col("lang_pred") != UND) & (F.col("known_share") >= least))
+    return out.select(*[F.col(h).alias(c) for c, h in held.items()])
 
 
 def op4_language_id(spark, sf_dir: str) -> DataFrame:

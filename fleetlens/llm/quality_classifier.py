@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import Rolling, blocks, test_remainder, utf8
+from fleetlens.llm.common import Rolling, blocks, slices, test_remainder, utf8
 
 #: Tokens are hashed into so many vectors of so many numbers.
 BUCKETS, SIZE = 1 << 15, 32
@@ -186,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows_each: int = FIT_ROWS) -> Model
 
 def _score(batches, shared):
     model = shared.value
-    for batch in batches:
+    for batch in slices(batches):
         texts = [t.as_py() or "" for t in batch.column(1)]
         scores = model.scores(features(texts, model.vectors)) if model else np.full(len(texts), 0.5)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
