@@ -3,7 +3,8 @@
 Numbers, names and units become typed placeholders, and windows of eight template words are hashed. Windows of the
 benchmark are held by every task (in blocks of a bounded size); a document's windows are looked up there, and those found
 are hash-joined with the benchmark's table, which says whose they are and what stood in the slots. A re-parameterised
-question is one whose slot values map one to one between benchmark and document.
+question is one whose slot values map one to one between benchmark and document. Windows of
+the bare words stand beside the templates, so that literal copies match whatever they consist of.
 """
 
 import numpy as np
@@ -16,6 +17,8 @@ from fleetlens.llm.common import Rolling, blocks, cut, mix, utf8
 WINDOW = 8
 #: Benchmark windows need so many words that are no placeholder.
 LITERAL = 4
+#: An item none of whose windows has so many is looked for as a whole if it has so many words that are no placeholder.
+WHOLE = 2
 #: A document leaks an item if so many of the item's windows (or all, if it has fewer) stand in it.
 LEAST = 4
 #: Hashes of the benchmark that a task holds at once (8 bytes each); a larger benchmark takes several passes.
@@ -42,7 +45,8 @@ def lowered(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Template:
-    """Of a block of texts: a row, a word hash and two template codes for each word, with and without names."""
+    """Of a block of texts: a row, a word hash and four codes for each word: template without names, with them,
+    with words that open a sentence as possible names too, and the bare words."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         low, upper = lowered(data)
@@ -66,14 +70,15 @@ class Template:
         fresh = np.concatenate([[True], self.row[1:] != self.row[:-1]]) if len(begin) else np.zeros(0, bool)
         opens = fresh | (stops[begin] > stops[np.minimum(before, begin)])
         wide = begin + (data[begin] == 0xC3) if len(begin) else begin
-        name = upper[wide] & (capitals[stop] - capitals[begin] == 1) & ~opens & ~number if len(begin) else np.zeros(0, bool)
+        maybe = upper[wide] & (capitals[stop] - capitals[begin] == 1) & ~number if len(begin) else np.zeros(0, bool)
         unit = np.concatenate([[False], number[:-1]]) & ~fresh & np.isin(self.words, _unit_hashes()) if len(begin) else np.zeros(0, bool)
         self.plain = np.where(number, _NUMBER, np.where(unit, _UNIT, self.words))
-        self.named = np.where(name, _NAME, self.plain)
+        self.named = np.where(maybe & ~opens, _NAME, self.plain)
+        self.codes = [self.plain, self.named, np.where(maybe, _NAME, self.plain), self.words]
 
-    def windows(self, size: int, named: bool) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self, size: int, variant: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts of windows that lie in one row, and their hashes."""
-        codes = self.named if named else self.plain
+        codes = self.codes[variant]
         n = len(codes) - size + 1
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -83,9 +88,9 @@ class Template:
         ok = np.flatnonzero(self.row[:n] == self.row[size - 1 :])
         return ok, mix(total[ok])
 
-    def slots(self, start: int, size: int, named: bool) -> list[int]:
+    def slots(self, start: int, size: int, variant: int) -> list[int]:
         """Word hashes where the window has placeholders, 0 elsewhere."""
-        codes, words = (self.named if named else self.plain)[start : start + size], self.words[start : start + size]
+        codes, words = self.codes[variant][start : start + size], self.words[start : start + size]
         return np.where(codes != words, words, 0).view(np.int64).tolist()
 
 
@@ -100,7 +105,9 @@ def _unit_hashes() -> np.ndarray:
     return _units[0]
 
 
-_BENCH = "hash long, item_id long, at int, size int, slots array<long>, windows int"
+#: Variants of a window: template without names, with names, with possible names at the opening of sentences, bare words.
+OPENED, EXACT = 2, 3
+_BENCH = "hash long, item_id long, at int, size int, slots array<long>, windows int, exact_windows int, whole boolean, opened boolean, template boolean, exact boolean"
 _HIT = "doc_id long, hash long, word int, doc_slots array<long>"
 
 
@@ -111,21 +118,29 @@ def _bench(batches, window: int, literal: int):
             data, offsets = utf8(pa.array([text.as_py() or ""], pa.large_string()))
             t = Template(data, offsets)
             size = min(window, len(t.words))
-            got = {}
-            for named in (False, True):
-                for at, h in zip(*t.windows(size, named), strict=True):
-                    slots = t.slots(int(at), size, named)
-                    if size - sum(x != 0 for x in slots) >= min(literal, size):
-                        got[int(at), int(h)] = slots
-            several = len({at for at, _ in got})
-            rows += [(int(np.uint64(h).view(np.int64)), item, at, size, s, several) for (at, h), s in got.items()]
-        columns = list(zip(*rows, strict=True)) or [()] * 6
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int32()], strict=True)], ["hash", "item_id", "at", "size", "slots", "windows"])
+            found = {}  # (place, hash) -> slots, literals, first variant, whether bare words
+            for variant in range(EXACT + 1):
+                for at, h in zip(*t.windows(size, variant), strict=True):
+                    slots = t.slots(int(at), size, variant)
+                    old = found.get((int(at), int(h)))
+                    found[int(at), int(h)] = (*(old[:3] if old else (slots, size - sum(x != 0 for x in slots), variant)), variant == EXACT)
+            templates = {k for k, (_, n, v, _) in found.items() if v != EXACT and n >= min(literal, size)}
+            whole = not templates and np.count_nonzero(t.plain == t.words) >= WHOLE
+            if whole:
+                templates = {k for k, (_, n, v, _) in found.items() if v != EXACT and n}
+            several, places = len({at for at, _ in templates}), len({at for at, _ in found})
+            for (at, h), (slots, _, variant, exact) in found.items():
+                if exact or (at, h) in templates:
+                    rows.append((int(np.uint64(h).view(np.int64)), item, at, size, slots, several, places, whole, variant == OPENED, (at, h) in templates, exact))
+        columns = list(zip(*rows, strict=True)) or [()] * 11
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.int32(), *[pa.bool_()] * 4]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["hash", "item_id", "at", "size", "slots", "windows", "exact_windows", "whole", "opened", "template", "exact"])
 
 
 def bench_windows(benchmark: DataFrame, window: int = WINDOW, literal: int = LITERAL) -> DataFrame:
-    """hash, item_id, at, size, slots and windows (how many places of the item have one). An item shorter than a window
-    is one window; a null or empty item has none."""
+    """hash, item_id, at, size, slots, windows (how many places of the item have a template), exact_windows (bare words)
+    and whether the templates stand for the item only all together, count as names what opens a sentence, and are a
+    template and bare words. An item shorter than a window is one window; a null or empty item has none."""
     return benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(lambda it: _bench(it, window, literal), _BENCH)
 
 
@@ -142,15 +157,15 @@ def _lookup(batches, shared):
             first = np.searchsorted(t.row, np.arange(b - a))
             for size in sizes:
                 seen = set()
-                for named in (False, True):
-                    at, hashes = t.windows(size, named)
+                for variant in range(EXACT + 1):
+                    at, hashes = t.windows(size, variant)
                     maybe = np.flatnonzero(filter_[hashes >> np.uint64(44)])
                     for k in maybe[np.isin(hashes[maybe], known)]:
                         key = (int(at[k]), int(hashes[k]))
                         if key not in seen:
                             seen.add(key)
                             row = int(t.row[key[0]])
-                            rows.append((ids[a + row], int(hashes[k : k + 1].view(np.int64)[0]), key[0] - int(first[row]), t.slots(key[0], size, named)))
+                            rows.append((ids[a + row], int(hashes[k : k + 1].view(np.int64)[0]), key[0] - int(first[row]), t.slots(key[0], size, variant)))
         columns = list(zip(*rows, strict=True)) or [()] * 4
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())], strict=True)], ["doc_id", "hash", "word", "doc_slots"])
 
@@ -172,26 +187,37 @@ def window_hits(docs: DataFrame, bench: DataFrame, held: int = HELD) -> DataFram
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal: int = LITERAL, least: int = LEAST, held: int = HELD) -> DataFrame:
     """A row per (doc_id, item_id) that leaks: n_windows found, item_windows, n_slots, slots_consistent, first_word and
-    last_word of the places in the document.
+    last_word, all of the judgement that shows it best.
 
-    Null or empty texts on either side have no windows; words cut at their ends still count by their windows; repeated
-    rows of a doc_id count once; null ids make rows of their own; empty tables give no rows; other columns are not read.
+    A pair is judged with and without the templates that take a sentence's opening word for a name, and passing once is
+    enough. Null or empty texts on either side have no windows; words cut at their ends still count by their windows;
+    repeated rows of a doc_id count once; null ids make rows of their own; empty tables give no rows; other columns are
+    not read.
     """
     bench = cut(bench_windows(benchmark, window, literal))
-    hits = window_hits(docs, bench, held)
+    hits = window_hits(docs, bench, held).distinct()
     pairs = hits.join(F.broadcast(bench) if bench.count() <= held // 8 else bench, "hash")
     values = F.filter(F.arrays_zip(F.col("slots").alias("item"), F.col("doc_slots").alias("doc")), lambda x: x.item != 0)
-    pairs = pairs.select("doc_id", "item_id", "at", "word", "size", "windows", F.transform(values, lambda x: F.struct(x.item.alias("item"), x.doc.alias("doc"))).alias("values"))
-    whole = pairs.groupBy("doc_id", "item_id").agg(
-        F.count_distinct("at").alias("n_windows"),
-        F.count_distinct(F.when(F.size("values") == 0, F.col("at"))).alias("fixed"),
-        F.max("windows").alias("item_windows"), F.min("word").alias("first_word"), F.max(F.col("word") + F.col("size") - 1).alias("last_word"),
+    columns = ["doc_id", "item_id", "at", "word", "size", "windows", "exact_windows", "whole", "opened", "template", "exact"]
+    pairs = pairs.select(*columns, F.transform(values, lambda x: F.struct(x.item.alias("item"), x.doc.alias("doc"))).alias("values"))
+    scopes = [F.struct(F.lit(k).alias("scope"), c.cast("long").alias("place"), F.lit(o).alias("with_opened")) for k, c in enumerate((F.lit(0),)) for o in (False, True)]
+    spread = pairs.withColumn("o", F.explode(F.array(*scopes))).where(F.col("o.with_opened") | ~F.col("opened"))
+    found = lambda condition: F.count_distinct(F.when(condition, F.col("at")))
+    occurrences = spread.groupBy("doc_id", "item_id", "o").agg(
+        found(F.col("template")).alias("n_template"), found(F.col("exact")).alias("n_exact"),
+        found(F.col("template") & (F.size("values") == 0)).alias("fixed"), F.count_distinct("at").alias("n_windows"),
+        F.max("windows").alias("templates"), F.max("exact_windows").alias("exacts"), F.max("whole").alias("whole"),
+        F.min("word").alias("first_word"), F.max(F.col("word") + F.col("size") - 1).alias("last_word"),
         F.array_distinct(F.flatten(F.collect_set("values"))).alias("values"),
     )
-    distinct = lambda field: F.size(F.array_distinct(F.transform("values", lambda x: x[field])))
-    judged = whole.select("*", F.size("values").alias("n_slots"), ((distinct("item") == F.size("values")) & (distinct("doc") == F.size("values"))).alias("slots_consistent"))
-    enough = F.when(F.col("slots_consistent"), F.col("n_windows")).otherwise(F.col("fixed")) >= F.least(F.lit(least), F.col("item_windows"))
-    return judged.where(enough).select("doc_id", "item_id", "n_windows", "item_windows", "n_slots", "slots_consistent", "first_word", "last_word")
+    item_values = F.size(F.array_distinct(F.transform("values", lambda x: x.item)))
+    judged = occurrences.select("*", F.size("values").alias("n_slots"), ((item_values == F.size("values")) & (F.size(F.array_distinct(F.transform("values", lambda x: x.doc))) == F.size("values"))).alias("slots_consistent"))
+    need = F.when(F.col("whole"), F.col("templates")).otherwise(F.least(F.lit(least), F.col("templates")))
+    templated = (F.col("templates") > 0) & (F.when(F.col("slots_consistent"), F.col("n_template")).otherwise(F.col("fixed")) >= need)
+    enough = templated | (F.col("n_exact") >= F.least(F.lit(least), F.col("exacts")))
+    fields = [F.col(c) if c != "item_windows" else F.greatest("templates", "exacts").alias(c) for c in ("slots_consistent", "n_windows", "item_windows", "n_slots", "first_word", "last_word")]
+    best = judged.where(enough).groupBy("doc_id", "item_id").agg(F.max(F.struct(*fields)).alias("b"))
+    return best.select("doc_id", "item_id", "b.n_windows", "b.item_windows", "b.n_slots", "b.slots_consistent", "b.first_word", "b.last_word")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
