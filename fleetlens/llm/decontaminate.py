@@ -3,13 +3,13 @@
 Numbers, names and units become typed placeholders, and windows of eight template words are hashed. Windows of the
 benchmark are held by every task (in blocks of a bounded size); a document's windows are looked up there, and those found
 are hash-joined with the benchmark's table, which says whose they are and what stood in the slots. A re-parameterised
-question is one whose slot values map one to one between benchmark and document. Windows of
+question is one where each slot value of the item has a single value in an occurrence of it in the document. Windows of
 the bare words stand beside the templates, so that literal copies match whatever they consist of.
 """
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import Rolling, blocks, cut, mix, utf8
@@ -19,6 +19,8 @@ WINDOW = 8
 LITERAL = 4
 #: An item none of whose windows has so many is looked for as a whole if it has so many words that are no placeholder.
 WHOLE = 2
+#: Places of an item's windows belong to one occurrence if they are shifted by so many words or fewer.
+SHIFT = 4
 #: A document leaks an item if so many of the item's windows (or all, if it has fewer) stand in it.
 LEAST = 4
 #: Hashes of the benchmark that a task holds at once (8 bytes each); a larger benchmark takes several passes.
@@ -187,9 +189,10 @@ def window_hits(docs: DataFrame, bench: DataFrame, held: int = HELD) -> DataFram
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal: int = LITERAL, least: int = LEAST, held: int = HELD) -> DataFrame:
     """A row per (doc_id, item_id) that leaks: n_windows found, item_windows, n_slots, slots_consistent, first_word and
-    last_word, all of the judgement that shows it best.
+    last_word, all of the occurrence that shows it best.
 
-    A pair is judged with and without the templates that take a sentence's opening word for a name, and passing once is
+    An occurrence is what stands at one shift of the item's words, at neighbouring shifts, or in the whole document; each
+    is judged with and without the templates that take a sentence's opening word for a name, and one that passes is
     enough. Null or empty texts on either side have no windows; words cut at their ends still count by their windows;
     repeated rows of a doc_id count once; null ids make rows of their own; empty tables give no rows; other columns are
     not read.
@@ -199,8 +202,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal:
     pairs = hits.join(F.broadcast(bench) if bench.count() <= held // 8 else bench, "hash")
     values = F.filter(F.arrays_zip(F.col("slots").alias("item"), F.col("doc_slots").alias("doc")), lambda x: x.item != 0)
     columns = ["doc_id", "item_id", "at", "word", "size", "windows", "exact_windows", "whole", "opened", "template", "exact"]
-    pairs = pairs.select(*columns, F.transform(values, lambda x: F.struct(x.item.alias("item"), x.doc.alias("doc"))).alias("values"))
-    scopes = [F.struct(F.lit(k).alias("scope"), c.cast("long").alias("place"), F.lit(o).alias("with_opened")) for k, c in enumerate((F.lit(0),)) for o in (False, True)]
+    pairs = pairs.select(*columns, (F.col("word") - F.col("at")).alias("shift"), F.transform(values, lambda x: F.struct(x.item.alias("item"), x.doc.alias("doc"))).alias("values"))
+    by = Window.partitionBy("doc_id", "item_id").orderBy("shift")
+    pairs = pairs.withColumn("far", F.coalesce(F.col("shift") - F.lag("shift").over(by) > SHIFT, F.lit(False)).cast("int")).withColumn("near", F.sum("far").over(by))
+    scopes = [F.struct(F.lit(k).alias("scope"), c.cast("long").alias("place"), F.lit(o).alias("with_opened")) for k, c in enumerate((F.col("shift"), F.col("near"), F.lit(0))) for o in (False, True)]
     spread = pairs.withColumn("o", F.explode(F.array(*scopes))).where(F.col("o.with_opened") | ~F.col("opened"))
     found = lambda condition: F.count_distinct(F.when(condition, F.col("at")))
     occurrences = spread.groupBy("doc_id", "item_id", "o").agg(
@@ -211,7 +216,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal:
         F.array_distinct(F.flatten(F.collect_set("values"))).alias("values"),
     )
     item_values = F.size(F.array_distinct(F.transform("values", lambda x: x.item)))
-    judged = occurrences.select("*", F.size("values").alias("n_slots"), ((item_values == F.size("values")) & (F.size(F.array_distinct(F.transform("values", lambda x: x.doc))) == F.size("values"))).alias("slots_consistent"))
+    judged = occurrences.select("*", F.size("values").alias("n_slots"), (item_values == F.size("values")).alias("slots_consistent"))
     need = F.when(F.col("whole"), F.col("templates")).otherwise(F.least(F.lit(least), F.col("templates")))
     templated = (F.col("templates") > 0) & (F.when(F.col("slots_consistent"), F.col("n_template")).otherwise(F.col("fixed")) >= need)
     enough = templated | (F.col("n_exact") >= F.least(F.lit(least), F.col("exacts")))

@@ -1,8 +1,11 @@
-"""Leaks of short and number-rich items and of names that open sentences."""
+"""Leaks of short and number-rich items, of names that open sentences, and of items that stand twice in a document."""
+
+import pytest
 
 from fleetlens.llm import decontaminate
 
 PENS = "Tom has 5 red pens. Sam has 3 blue pens. How many pens do they have?"
+TRAIN = "A train leaves Boston at 60 miles per hour and reaches the far station after 5 hours"
 PLAIN = "some other words that lead up to it all. "
 
 
@@ -20,3 +23,12 @@ def test_short_and_number_rich_items(spark):
 def test_names_that_open_sentences(spark):
     rewritten = PENS.replace("Tom", "Ann").replace("Sam", "Bob").replace("5", "8").replace("3", "2")
     assert found(spark, [PLAIN + rewritten, PLAIN * 5], [PENS]) == {(0, 0)}
+
+
+@pytest.mark.parametrize("more", ["", "a 7 at the end "])
+def test_each_occurrence_is_judged_by_itself(spark, more):
+    item = "Take 3 cups and 5 bowls then 9 plates and 2 pans so 4 forks " + more
+    other = item.replace("3", "6").replace("5", "8").replace("9", "1").replace("2", "7")
+    same = item.replace("3", "6").replace("5", "6")
+    docs = [item + PLAIN * 3 + other, other + PLAIN * 3 + other.replace("6", "12"), same]
+    assert found(spark, docs, [item, TRAIN]) == {(0, 0), (1, 0), (2, 0)}
