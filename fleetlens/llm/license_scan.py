@@ -38,7 +38,12 @@ NOTICES = [
     ("distributed under the boost software license", "bsl", 4),
     ("spdx license identifier", "spdx", 2),
     ("all rights reserved", "all-rights-reserved", 1),
+    ("creative commons attribution", "cc", 2),
+    ("licensed under cc by", "cc", 2),
+    *[(f"cc by {x}", "cc", 0) for x in ("nc", "nd", "sa", "1 0", "2 0", "2 5", "3 0", "4 0", "license")],
 ]
+#: What tells a licence from others in a notice; one edit, or two from six letters on, is allowed in it.
+NAMES = ["mit", "apache", "gnu general", "gnu lesser general", "gnu affero general", "mozilla", "eclipse", "creative commons", "cc by", "boost", "spdx"]
 _KEEP = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 _LOWER = [b + 32 if 65 <= b <= 90 else b for b in range(256)]
 #: Bytes to lower case, with a space for whatever is not in a word.
@@ -56,10 +61,18 @@ def pieces(notice: str, edits: int) -> list[tuple[int, bytes]]:
 def patterns() -> list:
     out = []
     for notice, label, edits in NOTICES:
-        out.append((label, len(notice), edits, pieces(notice, edits), regex.compile(b"(?e)(?:" + regex.escape(notice.encode(), special_only=True) + b"){e<=%d}" % edits)))
+        body = b"(?:" + regex.escape(notice.encode(), special_only=True) + b"){e<=%d}" % edits
+        out.append((label, len(notice), edits, pieces(notice, edits), regex.compile(b"(?e)" + body if edits else b"(?<![^ ])" + body + b"(?![^ ])")))
     return out
 
 
+@functools.cache
+def names() -> list:
+    """Of each notice, a pattern of the licence's name in it; None if it has none."""
+    found = [next((x for x in NAMES if f" {x} " in f" {notice} "), None) for notice, _, _ in NOTICES]
+    return [x and regex.compile(b"(?:%s){e<=%d}" % (x.encode(), 1 if len(x) < 6 else 2)) for x in found]
+
+
 def joined(text: str) -> bytes:
     """The words, lower-cased, with one space between and around them."""
     words = text.encode().translate(TABLE).split()
@@ -135,6 +148,8 @@ def scan(line: bytes) -> tuple[list[tuple[str, int]], list[tuple[str, int, int,
     for k, a, b in windows(line):
         label, _, _, _, pattern = patterns()[k]
         for m in pattern.finditer(line, a, b):
+            if names()[k] and not names()[k].search(line, m.start(), m.end()):
+                continue  # the edits went into another licence's name
             first = line.count(b" ", 0, m.start() + 1) - 1 + (line[m.start() : m.start() + 1] == b" ")
             last = line.count(b" ", 0, m.end()) - 1 - (line[m.end() - 1 : m.end()] == b" ")
             fuzzy.append((label, max(0, first), max(0, last), sum(m.fuzzy_counts)))
