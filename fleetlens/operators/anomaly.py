@@ -1,12 +1,14 @@
 """Anomaly scores: residuals against pooled expectations, bursts, and a pooled isolation forest."""
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions import columns as C
 from fleetlens.operators import profiles as P
+from fleetlens.operators.pools import quantiles
+from fleetlens.sources.shared import cut
 
 SERIES = ["resource_id", *P.POOL]
 WINDOW_ROWS, LEAST_ROWS, LEAST_WINDOW = 168, 12, 6
@@ -129,61 +131,101 @@ def isolation_score(forest: list[np.ndarray], x: np.ndarray, sample: int) -> np.
     return 2.0 ** (-depth / len(forest) / max(float(_length(np.array([sample]))[0]), 1e-9))
 
 
-def scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    middle, quarter = np.nanmedian(x, 0), np.nanpercentile(x, 75, 0) - np.nanpercentile(x, 25, 0)
-    return np.nan_to_num(middle), np.where(quarter > 0, quarter, 1.0)
+def matrix(lists) -> np.ndarray:
+    """A column of equally long arrays of numbers as rows."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
 
 
-def fit_forest(pdf: pd.DataFrame) -> pd.DataFrame:
-    """N-5: the forest of one type, fitted on its sampled rows, as bytes."""
-    import pickle
-
-    x = pdf[["residual", "ratio"]].to_numpy(float)
-    pool = int(pdf["pool"].iloc[0])
-    middle, quarter = scaled(x)
-    z = (np.where(np.isnan(x), middle, x) - middle) / quarter
-    forest = grow(z)
-    contamination = min(0.49, max(0.01, min(0.05, max(0.02, 5 / pool))))
-    sample = min(SAMPLE, len(z))
-    offset = float(np.quantile(-isolation_score(forest, z, sample), contamination))
-    return pd.DataFrame({"rtype": [pdf["rtype"].iloc[0]], "model": [pickle.dumps((forest, middle, quarter, sample, offset))], "pool": [pool]})
+def forest_features(res: DataFrame) -> DataFrame:
+    """N-4: per resource and time an array x: the residual of each feature, then each one's burst ratio (50 at most);
+    null where there is none. The features are the columns of the matrix: as many as the registry has."""
+    names = [r[0] for r in res.select("feature").distinct().orderBy("feature").collect()]
+    ratio = F.least(F.lit(50.0), F.when(F.col("value") != 0, F.col("vmax") / F.col("value")))
+    cells = [F.max(F.when(F.col("feature") == f, c)) for c in (F.col("residual"), ratio) for f in names]
+    return res.groupBy("resource_id", "category", "rtype", "ts").agg(F.array(*cells).alias("x"))
 
 
-def forests(features: DataFrame, sample: int = 4 * SAMPLE) -> DataFrame:
-    """A model per type with 100 rows or more. A forest looks at SAMPLE rows per tree, so each type sends a bounded,
-    hash-ordered sample of `sample` rows to one task; the pool's size is counted over all rows."""
+def scaled(features: DataFrame) -> DataFrame:
+    """features of types with LEAST_POOL rows or more with pool (the type's rows) and z: x with medians for nulls, less the
+    median, over the distance of the quartiles. Both are those of the type's whole pool."""
     sizes = features.groupBy("rtype").agg(F.count("*").alias("pool")).where(F.col("pool") >= LEAST_POOL)
-    drawn = features.join(sizes, "rtype").withColumn("_h", F.pmod(F.xxhash64("resource_id", "ts", F.lit(42)), F.lit(1 << 30)) / F.lit(1 << 30)).where(F.col("_h") * F.col("pool") < sample)
-    return drawn.groupBy("rtype").applyInPandas(fit_forest, "rtype string, model binary, pool long")
-
-
-def forest_signals(features: DataFrame, models: DataFrame) -> DataFrame:
-    """N-6: clip((offset-adjusted score + 0.3) / 0.6); null for a type without a forest. Models are one row per type."""
-    import pickle
-
-    def score(batches):
-        known: dict = {}
-        for pdf in batches:
-            out = pd.Series(np.nan, index=pdf.index)
-            for rtype, part in pdf.groupby("rtype", sort=False):
-                blob = part["model"].iloc[0]
-                if blob is None:
-                    continue
-                if rtype not in known:
-                    known[rtype] = pickle.loads(blob)
-                forest, middle, quarter, sample, offset = known[rtype]
-                x = part[["residual", "ratio"]].to_numpy(float)
-                decision = -isolation_score(forest, (np.where(np.isnan(x), middle, x) - middle) / quarter, sample) - offset
-                out[part.index] = np.clip((-decision + 0.3) / 0.6, 0, 1)
-            yield pdf[["resource_id", "category", "ts", "rtype", "pool"]].assign(forest_signal=out)
-
-    joined = features.join(F.broadcast(models), "rtype", "left")  # one row for each of the few resource types
-    return joined.select("resource_id", "category", "ts", "rtype", "residual", "ratio", "model", "pool").mapInPandas(score, "resource_id string, category string, ts timestamp_ntz, rtype string, pool long, forest_signal double")
-
-
-def forest_features(res: DataFrame) -> DataFrame:
-    """N-4: largest residual and ratio of a resource at a time."""
-    return res.groupBy("resource_id", "category", "rtype", "ts").agg(F.max(F.abs("residual")).alias("residual"), F.max(F.least(F.lit(50.0), F.coalesce(F.when(F.col("value") != 0, F.col("vmax") / F.col("value")), F.lit(1.0)))).alias("ratio"))
+    cells = features.join(sizes, "rtype").select("rtype", F.posexplode("x").alias("k", "v"))
+    middles = quantiles(cells, ["rtype", "k"], "v", {"m": 0.5}).select("rtype", "k", "m")
+    filled = cells.join(middles, ["rtype", "k"], "left").select("rtype", "k", F.coalesce("v", "m", F.lit(0.0)).alias("v"))
+    spread = quantiles(filled, ["rtype", "k"], "v", {"a": 0.25, "m": 0.5, "b": 0.75})
+    scale = F.struct("k", "m", F.when(F.col("b") > F.col("a"), F.col("b") - F.col("a")).otherwise(1.0).alias("s"))
+    types = spread.groupBy("rtype").agg(F.sort_array(F.collect_list(scale)).alias("scale")).join(sizes, "rtype")  # two entries a feature
+    z = F.zip_with("x", "scale", lambda v, s: (F.coalesce(v, s.m) - s.m) / s.s)
+    return features.join(types, "rtype").select("resource_id", "category", "rtype", "ts", "pool", z.alias("z"))
+
+
+def trees(rows: DataFrame, count: int = TREES, sample: int = SAMPLE) -> DataFrame:
+    """N-5: (rtype, tree, nodes): each tree of a type is grown on its own draw of about `sample` rows of the type's whole
+    pool (all rows of a smaller pool). A pool of more than count x sample rows gives each row to one tree at most."""
+    draw = lambda *seed: F.pmod(F.xxhash64("resource_id", "category", "ts", *seed), F.lit(1 << 40)) / float(1 << 40)
+    wide = F.col("pool") > count * sample
+    every = rows.where(~wide).withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).where(draw(F.col("tree")) < sample / F.col("pool"))
+    once = rows.where(wide & (draw(F.lit(-1)) < count * sample / F.col("pool"))).withColumn("tree", F.floor(draw(F.lit(-2)) * count).cast("int"))
+
+    def fit(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(c, "ascending") for c in ("resource_id", "category", "ts")])
+        first = table.slice(0, 1)
+        nodes = grow(matrix(table.column("z")), seed=42 + first["tree"][0].as_py(), trees=1)[0]
+        return first.select(["rtype", "tree", "pool"]).append_column("nodes", pa.array([nodes.tobytes()], pa.binary()))
+
+    drawn = every.unionByName(once).select("rtype", "tree", "pool", "resource_id", "category", "ts", "z")
+    return drawn.groupBy("rtype", "tree").applyInArrow(fit, "rtype string, tree int, pool long, nodes binary")
+
+
+#: Bytes of trees that a task holds at once; types are scored in as many passes as that takes.
+HELD = 256 << 20
+
+
+def forest_scores(rows: DataFrame, model: DataFrame) -> DataFrame:
+    """rows (rtype, pool, z and others) with raw, the isolation score of each. model: a written table of trees. Trees are
+    broadcast, those of one type (2,047 nodes each at most) always together."""
+    spark = rows.sparkSession
+    sizes = model.groupBy("rtype").agg(F.sum(F.length("nodes")).alias("bytes")).orderBy("rtype").collect()
+    passes, held = [[]], 0
+    for r in sizes:
+        if held and held + r["bytes"] > HELD:
+            passes.append([])
+            held = 0
+        passes[-1].append(r["rtype"])
+        held += r["bytes"]
+    schema = rows.drop("z").withColumn("raw", F.lit(0.0)).schema
+
+    def score(batches, shared):
+        for batch in batches:
+            x, types, pools = matrix(batch.column("z")), batch.column("rtype").dictionary_encode(), batch.column("pool").to_numpy()
+            raw, codes = np.full(batch.num_rows, np.nan), types.indices.to_numpy()
+            for k, rtype in enumerate(types.dictionary.to_pylist()):
+                own = np.flatnonzero(codes == k)
+                raw[own] = isolation_score(shared.value[rtype], x[own], min(SAMPLE, int(pools[own[0]])))
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in batch.schema.names if n != "z"), pa.array(raw)], [*(n for n in batch.schema.names if n != "z"), "raw"])
+
+    out = None
+    for names in passes:
+        forest: dict = {}
+        for r in model.where(F.col("rtype").isin(names)).orderBy("rtype", "tree").toLocalIterator():
+            forest.setdefault(r["rtype"], []).append(np.frombuffer(r["nodes"]).reshape(-1, 5))
+        shared = spark.sparkContext.broadcast(forest)
+        found = rows.where(F.col("rtype").isin(names)).mapInArrow(lambda it, s=shared: score(it, s), schema)
+        out = found if out is None else out.union(found)
+    return out
+
+
+def forest_signals(features: DataFrame) -> DataFrame:
+    """N-6: resource_id, category, ts, pool and forest_signal, clip((raw - the pool's threshold + 0.3) / 0.6), for the rows
+    of types that have a forest. The threshold is the quantile of all the pool's scores that its contamination asks for."""
+    rows = cut(scaled(cut(features)))
+    model = cut(trees(rows))
+    raw = cut(forest_scores(rows, model))
+    share = F.least(F.lit(0.49), F.greatest(F.lit(0.01), F.least(F.lit(0.05), F.greatest(F.lit(0.02), 5 / F.col("n")))))
+    limits = quantiles(raw, ["rtype"], "raw", {"limit": 1 - share}).select("rtype", "limit")
+    signal = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("raw") - F.col("limit") + 0.3) / 0.6))
+    return raw.join(limits, "rtype").select("resource_id", "category", "ts", "pool", signal.alias("forest_signal"))
 
 
 def scored(rows: DataFrame, with_forest: bool = False) -> DataFrame:
@@ -192,7 +234,6 @@ def scored(rows: DataFrame, with_forest: bool = False) -> DataFrame:
     keys = ["resource_id", "category", "ts"]
     signals = zscore_signal(res).join(burst_signal(rows), keys)
     if with_forest:
-        f = forest_features(res)
-        signals = signals.join(forest_signals(f, forests(f)).drop("rtype"), keys, "left")
+        signals = signals.join(forest_signals(forest_features(res)), keys, "left")
         return composite(signals, F.col("pool"))
     return composite(signals.withColumn("forest_signal", F.lit(None).cast("double")))

@@ -4,19 +4,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions import columns as C
+from fleetlens.operators.pools import quantiles
 
 POOL = ["rtype", "category", "feature"]
 
 
 def profile_stats(rows: DataFrame) -> DataFrame:
     """A-4: count, mean, population std, exact p5 and p95 of pools with five values or more."""
-    out = rows.groupBy(*POOL).agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("sd"), F.percentile("value", F.array(F.lit(0.05), F.lit(0.95))).alias("p"))
-    return out.where("n >= 5").select(*POOL, "n", "mean", "sd", F.get("p", 0).alias("p5"), F.get("p", 1).alias("p95"))
+    out = rows.groupBy(*POOL).agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("sd"))
+    return out.where("n >= 5").join(quantiles(rows, POOL, "value", {"p5": 0.05, "p95": 0.95}).drop("n"), POOL)
 
 
 def diurnal(rows: DataFrame) -> DataFrame:
     """A-5: median by weekday (Monday 0) and hour, of buckets with two values or more."""
-    return rows.groupBy(*POOL, F.weekday("ts").alias("dow"), F.hour("ts").alias("hod")).agg(F.median("value").alias("expected"), F.count("value").alias("n")).where("n >= 2")
+    bucketed = rows.withColumn("dow", F.weekday("ts")).withColumn("hod", F.hour("ts"))
+    return quantiles(bucketed, [*POOL, "dow", "hod"], "value", {"expected": 0.5}).where("n >= 2")
 
 
 def cadence(rows: DataFrame) -> DataFrame:
@@ -24,7 +26,7 @@ def cadence(rows: DataFrame) -> DataFrame:
     series = ["resource_id", *POOL]
     gap = C.hours_between(F.lag("ts").over(Window.partitionBy(*series).orderBy("ts", "event_id")), F.col("ts"))
     own = rows.withColumn("gap", gap).where("gap > 0").groupBy(*series).agg(F.median("gap").alias("usual"))
-    return own.groupBy(*POOL).agg(F.median("usual").alias("cadence_hours"), F.count("*").alias("resources"))
+    return quantiles(own, POOL, "usual", {"cadence_hours": 0.5}).withColumnRenamed("n", "resources")
 
 
 def regime_shift(rows: DataFrame, days: int = 3, warm_up: int = 14, sigmas: float = 2.5) -> DataFrame:
@@ -54,7 +56,7 @@ def series_slopes(rows: DataFrame, least: int = 5) -> DataFrame:
 
 def slope_priors(rows: DataFrame) -> DataFrame:
     """A-9: median normalised slope and pool size of each pool."""
-    return series_slopes(rows).groupBy(*POOL).agg(F.median("norm_slope").alias("prior"), F.count("*").alias("pool"))
+    return quantiles(series_slopes(rows), POOL, "norm_slope", {"prior": 0.5}).withColumnRenamed("n", "pool")
 
 
 def slope_training_table(rows: DataFrame, least: int = 20) -> DataFrame:

@@ -1,7 +1,5 @@
 """Registered queries: decisions, thresholds, feedback, accuracy, serving, sinks and streaming."""
 
-import tempfile
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -13,6 +11,7 @@ from fleetlens.plans.forecast_queries import KEY_SQL, KEYS, OVER, PRED_SQL, pred
 from fleetlens.plans.registration import query
 from fleetlens.sources import adapters as A
 from fleetlens.sources.catalog import Catalog
+from fleetlens.sources.shared import new_path
 from fleetlens.streaming import jobs
 
 ALL_SQL = PRED_SQL.replace("nw AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY resource_id, category, feature ORDER BY ts DESC, event_id DESC) = 1)", "nw AS (SELECT * FROM p)")
@@ -305,9 +304,8 @@ def upsert_idempotent(spark, d):
 
 
 def scratch(spark) -> str:
-    """A new folder that all executors see: under spark.checkpoint.dir, or a temporary one where that is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="fleetlens-")
-    return f"{base}/stream-{uuid.uuid4().hex}"
+    """A new folder that all executors see."""
+    return new_path(spark, "stream")
 
 
 def stream_of(spark, df):

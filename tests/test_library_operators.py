@@ -5,7 +5,8 @@ import datetime as dt
 import numpy as np
 from pyspark.sql import functions as F
 
-from fleetlens.operators import anomaly, decisions, details, ingest, normalize, serve
+from fleetlens.operators import anomaly, decisions, details, ingest, normalize, pools, serve
+from fleetlens.sources.shared import cut
 from fleetlens.streaming import jobs
 
 T0 = dt.datetime(2024, 1, 1)
@@ -99,3 +100,26 @@ def test_streams_roll_up_and_fan_out(spark, tmp_path):
     assert seen == [12, 66.0]
     jobs.run_once(jobs.hourly_rollup(stream, ["k"]), str(tmp_path / "out"), str(tmp_path / "c2")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() >= 1
+
+
+def test_quantiles_are_those_of_all_values(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, float(v)) for k, values in {"a": rng.normal(0, 100, 500).round(1), "b": rng.lognormal(0, 8, 300), "c": [5.0], "d": [-2.0, -2.0, 0.0, 1e-300]}.items() for v in values] + [("a", None), ("e", None), (None, 1.0), (None, 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r for r in pools.quantiles(df, ["k"], "v", {"lo": 0.05, "mid": 0.5, "top": 1 - 5 / (F.col("n") + 5)}).collect()}
+    assert set(got) == {"a", "b", "c", "d", None} and got[None].mid == 1.5
+    for k in "abcd":
+        own = np.array([v for x, v in rows if x == k and v is not None])
+        want = np.quantile(own, [0.05, 0.5, 1 - 5 / (len(own) + 5)])
+        assert got[k].n == len(own) and np.allclose([got[k].lo, got[k].mid, got[k].top], want, rtol=1e-12)
+
+
+def test_every_tree_draws_from_the_whole_pool(spark):
+    rows = spark.range(3000).select(F.lit("t").alias("rtype"), F.col("id").cast("string").alias("resource_id"), F.lit("c").alias("category"), F.lit(T0).cast("timestamp_ntz").alias("ts"), F.lit(3000).cast("long").alias("pool"), F.array(F.when(F.col("id") < 5, 50.0).otherwise(F.rand(1))).alias("z"))
+    rows = cut(rows)
+    model = cut(anomaly.trees(rows, count=20, sample=64))
+    got = anomaly.forest_scores(rows, model).groupBy((F.col("resource_id").cast("int") < 5).alias("far")).agg(F.min("raw").alias("lo"), F.avg("raw").alias("m")).collect()
+    by = {r.far: r for r in got}
+    assert model.count() == 20 and by[True].lo > by[False].m + 0.1
+    wide = anomaly.trees(rows, count=2, sample=100).toPandas()
+    assert {np.frombuffer(n).reshape(-1, 5)[0, 4] > 60 for n in wide.nodes} == {True}
