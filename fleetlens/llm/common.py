@@ -1,40 +1,21 @@
 """Shared helpers of the corpus operators: table access, cutting lineage, byte kernels and connected components."""
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens.sources.shared import cut, shared_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or (where it is unset, as in tests) a new temporary one."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if found is None:
-        found = tempfile.mkdtemp(prefix="fleetlens-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back, so that losing an executor costs no recomputation."""
-    path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def drop_cut(spark: SparkSession, df: DataFrame) -> None:
     """Deletes a table made by cut() whose readers have all been written."""
     jvm = spark._jvm
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+    for path in sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()}):
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 

@@ -1,35 +1,39 @@
 """Removal of repeated passages with suffix arrays made by external induced sorting.
 
-A byte goes if a 100-byte string over it also starts earlier in the corpus. Strings are found in four steps.
+A byte goes if a 100-byte string over it also starts earlier in the corpus. Strings are found in five steps.
 
 1. Every text is sampled by content: of each 100-byte window the 24-byte string with the smallest hash is its anchor, so
-   equal windows have equal anchors at equal places. Anchors that occur once in the corpus are left behind; no window
-   that repeats is.
-2. Around each anchor that is left, the bytes that its windows can reach are a segment. Equal segments are one, with its
-   first place; what stands at the other places is a repeat.
+   equal windows have equal anchors at equal places. Around each anchor, the bytes that its windows can reach are a
+   segment. Segments that repeat within a text are told at once and go no further, so that a periodic text is a few rows.
+   Anchors that occur once in the corpus are left behind; no window that repeats is.
+2. Equal segments are one, with its first place; what stands at the other places is a repeat.
 3. A window that stands in two different segments has the same bytes around its anchor in both, a core of 81 bytes at
    one of four places; segments without such a core in common with another cannot share a window and are done.
-4. The other segments are dealt by anchor to shards, whose suffixes are sorted (module induced_sort). Windows whose
-   suffixes share 100 bytes or more with their neighbours in that order are equal, and all but the first are repeats.
-
-Shards get about SHARD_BYTES each. A shard that is larger, because one anchor has very many contexts, still sorts: its
-queues are on disk beyond QUEUE_BYTES.
+4. The other segments are dealt by anchor to shards of about SHARD_BYTES, which are read as streams into scratch files and
+   whose suffixes are sorted (module induced_sort). Windows whose suffixes share 100 bytes or more with their neighbours in
+   that order are equal, and all but the first are repeats.
+5. An anchor with more than HOT different segments (a passage in very many contexts) would be one task's work; the hashes of
+   its segments' windows are counted by Spark instead, with partial aggregation.
 """
 
+import functools
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import Rolling, blocks, cut, drop_cut, mix, utf8
-from fleetlens.llm.induced_sort import Induction
+from fleetlens.llm.common import Rolling, blocks, cut, drop_cut, mix, slices, utf8
+from fleetlens.llm.induced_sort import Growing, Induction, scratch
 
 LENGTH, ANCHOR = 100, 24
-SHARD_BYTES, QUEUE_BYTES = 1 << 20, 64 << 20
+#: Bytes of segments in a shard, of a queue or array that a sort holds in memory, and the texts that are sorted by doubling.
+SHARD_BYTES, QUEUE_BYTES, SMALL = 8 << 20, 4 << 20, 1 << 16
+#: Segments of one anchor beyond which its windows are counted by hash.
+HOT = 20_000
 #: Bits of the filter of documents with repeats; it has this size whatever the input, and only saves shuffling.
 FILTER_BITS = 1 << 26
 
@@ -58,24 +62,39 @@ def anchors(data: np.ndarray, row: np.ndarray, rolling: Rolling, length: int = L
     return at, hashes[at]
 
 
-_ANCHOR_SCHEMA = "doc_id long, pos int, ext int, anchor long, content long"
+_ANCHOR_SCHEMA = "doc_id long, pos int, a int, b int, anchor long, content long"
 
 
 def _anchors(batches, length: int, size: int):
+    """A row for each different segment of a text: its anchor's place, its bytes [a, b), its anchor, its content. Those that
+    stand in the text once more are joined to runs [a, b) without a place (-1)."""
+    names, kinds = ["doc_id", "pos", "a", "b", "anchor", "content"], [pa.int64(), *[pa.int32()] * 3, *[pa.int64()] * 2]
     for batch in batches:
         data, offsets = utf8(batch.column(1))
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for a, b in blocks(offsets, 1 << 19):
-            part = offsets[a : b + 1] - offsets[a]
-            block = data[offsets[a] : offsets[b]]
-            row = np.repeat(np.arange(b - a), np.diff(part))
+        for first, last in blocks(offsets, 1 << 19):
+            part = offsets[first : last + 1] - offsets[first]
+            block = data[offsets[first] : offsets[last]]
+            row = np.repeat(np.arange(last - first), np.diff(part))
             rolling = Rolling(block)
             at, hashes = anchors(block, row, rolling, length, size)
-            pos = at - part[row[at]]
+            row = row[at]
+            pos = at - part[row]
             left = np.minimum(pos, length - size)
-            right = np.minimum(part[row[at] + 1] - at, length)
+            right = np.minimum(part[row + 1] - at, length)
             content = mix(rolling.spans(at - left, at + right) ^ (left.astype(np.uint64) << np.uint64(40)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[a + row[at]], pa.int64()), pa.array(pos, pa.int32()), pa.array(left << 8 | right, pa.int32()), pa.array(hashes.view(np.int64)), pa.array(content.view(np.int64))], ["doc_id", "pos", "ext", "anchor", "content"])
+            order = np.lexsort((pos, content, row))
+            again = np.zeros(len(at), bool)
+            again[order[1:]] = (content[order[1:]] == content[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
+            a, b, twice = pos - left, pos + right, np.flatnonzero(again)
+            # copies that follow each other under one anchor are one run
+            same = (row[twice][1:] == row[twice][:-1]) & (hashes[twice][1:] == hashes[twice][:-1]) & (a[twice][1:] <= b[twice][:-1])
+            edges = np.flatnonzero(np.concatenate([[True], ~same])) if len(twice) else np.zeros(0, np.int64)
+            ends = twice[np.append(edges[1:], len(twice)) - 1] if len(twice) else twice
+            once, twice = np.flatnonzero(~again), twice[edges]
+            where = np.concatenate([once, twice])
+            columns = [ids[first + row[where]], np.concatenate([pos[once], np.full(len(twice), -1)]), a[where], np.concatenate([b[once], b[ends]]), hashes[where].view(np.int64), content[where].view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
 def id_filter(ids: DataFrame):
@@ -109,10 +128,6 @@ _SEGMENT_SCHEMA = "anchor long, doc_id long, start int, piece binary, cores arra
 CELLS = 4
 
 
-#: Segments are sent to Spark in batches of so many, so that a task holds few at once.
-BATCH = 8192
-
-
 def structs(column: pa.Array, *fields: str) -> tuple[np.ndarray, list[np.ndarray]]:
     """Of a column of arrays of structs: where each row's entries begin (and the last end), and the fields' values."""
     sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
@@ -121,92 +136,145 @@ def structs(column: pa.Array, *fields: str) -> tuple[np.ndarray, list[np.ndarray
 
 
 def _segments(batches, length: int, size: int):
+    """A row for each place of a text: the segment's bytes and the hashes of its cores, told apart by cell."""
     step = -(-(length - size) // CELLS)
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
+    names, kinds = ["anchor", "doc_id", "start", "piece", "cores"], (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    for batch in batches:
+        entries, fields = structs(batch.column(2), "pos", "a", "b", "anchor")
+        data, offsets = utf8(batch.column(1))
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        for first, last in blocks(offsets, 1 << 19):
+            part = offsets[first : last + 1] - offsets[first]
+            block = data[offsets[first] : offsets[last]]
+            own = slice(entries[first], entries[last])
+            pos, a, b, anchor = (f[own] for f in fields)
+            row = np.repeat(np.arange(last - first), np.diff(entries[first : last + 1]))
+            base, size_of = part[row], np.diff(part)[row]
+            rolling, cores, ok = Rolling(block), np.zeros((len(pos), CELLS), np.uint64), np.zeros((len(pos), CELLS), bool)
+            for j in range(CELLS):
+                x, y = pos - step * j, pos + length - step * (j + 1)
+                ok[:, j] = (x >= 0) & (y <= size_of)
+                here = np.flatnonzero(ok[:, j])
+                cores[here, j] = mix(rolling.spans(base[here] + x[here], base[here] + y[here]) + np.uint64(j))
+            raw, starts, stops = block.tobytes(), (base + a).tolist(), (base + b).tolist()
+            for k in range(0, len(pos), BATCH):
+                s = slice(k, k + BATCH)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(ok[s].sum(1))]), pa.int32()), pa.array(cores[s][ok[s]].view(np.int64)))
+                columns = (anchor[s], ids[first + row[s]], a[s], [raw[x:y] for x, y in zip(starts[s], stops[s], strict=True)])
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(columns, kinds, strict=True)), lists], names)
 
-    def batch_of(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["anchor", "doc_id", "start", "piece", "cores"])
 
+#: Segments are sent to Spark in batches of so many, so that a task holds few at once.
+BATCH = 8192
+
+
+def repeated_windows(batches, length: int = LENGTH, budget: int = QUEUE_BYTES, small: int = SMALL):
+    """Of the segments of one shard (doc_id, start, piece), read as a stream: batches of doc_id, a, b, runs of bytes under
+    windows that also start earlier in the shard. Texts, places and the marks of windows that go are scratch files beyond
+    the budget."""
+    text, docs, starts, sizes = Growing(np.uint8, budget), Growing(np.int64, budget), Growing(np.int32, budget), Growing(np.int32, budget)
     for batch in batches:
-        offsets, (positions, extents, anchors_) = structs(batch.column(2), "pos", "ext", "anchor")
-        rows = []
-        for i, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
-            raw, own = text.as_py().encode(), slice(offsets[i], offsets[i + 1])
-            for at, ext, anchor in zip(positions[own].tolist(), extents[own].tolist(), anchors_[own].tolist(), strict=True):
-                spans = [(at - step * j, at + length - step * (j + 1)) for j in range(CELLS)]
-                cores = [xxhash.xxh64_intdigest(raw[a:b], j) - (1 << 63) for j, (a, b) in enumerate(spans) if a >= 0 and b <= len(raw)]
-                start = at - (ext >> 8)
-                rows.append((anchor, doc, start, raw[start : at + (ext & 255)], cores))
-            if len(rows) >= BATCH:
-                yield batch_of(rows)
-                rows = []
-        if rows:
-            yield batch_of(rows)
-
-
-def repeated_windows(docs: np.ndarray, starts: np.ndarray, pieces: list[bytes], length: int = LENGTH, budget: int = QUEUE_BYTES, small: int = 1 << 22) -> list[tuple[int, int, int]]:
-    """Of one shard's segments: (doc, from, to) runs of bytes under windows that also start earlier in the shard."""
-    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    ends = np.cumsum(sizes + 1) - 1
-    text = np.frombuffer(b"\0".join([*pieces, b""]), np.uint8).astype(np.uint16) + np.uint16(2)
-    text[ends] = 1
-    text = np.append(text, np.uint16(0))
-    known, rank = np.unique(docs, return_inverse=True)
-    first = ends - sizes
-    removed = []
-    for pos, lcp in Induction(text, length, budget, small).buckets():
-        pos = pos.astype(np.int64)
-        group = np.cumsum(lcp < length)
-        segment = np.minimum(np.searchsorted(ends, pos), len(ends) - 1)
+        raw, offsets = batch.column(batch.schema.get_field_index("piece")), None
+        offsets = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset : raw.offset + len(raw) + 1]
+        held = np.frombuffer(raw.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        size = np.diff(offsets)
+        spaced = np.ones(len(held) + len(size), np.uint8)  # 1 ends a piece; UTF-8 has no byte above 244, so two more fit
+        spaced[np.arange(len(held)) + np.repeat(np.arange(len(size)), size)] = held + np.uint8(2)
+        text.append(spaced)
+        docs.append(batch.column(batch.schema.get_field_index("doc_id")).to_numpy())
+        starts.append(batch.column(batch.schema.get_field_index("start")).to_numpy())
+        sizes.append(size)
+    text.append(np.zeros(1, np.uint8))
+    text, docs, starts, sizes = text.array(), docs.array(), starts.array(), sizes.array()
+    ends = np.cumsum(np.asarray(sizes, np.int64) + 1) - 1
+    gone = scratch(len(text), bool, budget)
+    first = np.zeros(0, np.int64)  # where the first place of the group of equal windows at hand stands in the text
+
+    def place(pos):
+        segment = np.searchsorted(ends, pos)
+        return docs[segment], starts[segment] + pos - (ends[segment] - sizes[segment])
+
+    for pos, lcp in Induction(text, length, budget, small).descending():
+        pos, group = pos.astype(np.int64), np.cumsum(lcp < length)
+        top, segment = group[-1], np.minimum(np.searchsorted(ends, pos), len(ends) - 1)
         ok = (pos + length <= ends[segment]) & (pos < len(text) - 1)
-        pos, group, segment = pos[ok], group[ok], segment[ok]
-        if not len(pos):
+        pos, group = np.concatenate([first, pos[ok]]), np.concatenate([np.zeros(len(first), np.int64), group[ok]])
+        if len(pos):
+            doc, at = place(pos)
+            order = np.lexsort((at, doc, group))
+            pos, doc, at, group = pos[order], doc[order], at[order], group[order]
+            edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+            head = np.repeat(edges, np.diff(np.append(edges, len(group))))
+            gone[pos[(doc != doc[head]) | (at != at[head])]] = True  # one window may stand in two segments of its document
+            first = pos[edges[-1:]] if group[-1] == top else first[:0]
+    for k in range(0, len(gone), 1 << 20):
+        marked = np.flatnonzero(gone[k : k + (1 << 20)]) + k
+        if not len(marked):
             continue
-        key = rank[segment] << 32 | starts[segment] + pos - first[segment]
-        edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-        least = np.repeat(np.minimum.reduceat(key, edges), np.diff(np.append(edges, len(key))))
-        removed.append(key[key > least])
-    keys = np.unique(np.concatenate(removed)) if removed else np.zeros(0, np.int64)
-    if not len(keys):
-        return []
-    edges = np.flatnonzero(np.concatenate([[True], np.diff(keys) > 1]))
-    last = np.append(edges[1:], len(keys)) - 1
-    return list(zip(known[keys[edges] >> 32].tolist(), (keys[edges] & 0xFFFFFFFF).tolist(), ((keys[last] & 0xFFFFFFFF) + length).tolist(), strict=True))
+        edges = np.flatnonzero(np.concatenate([[True], np.diff(marked) > 1]))
+        stop = np.append(edges[1:], len(marked)) - 1
+        doc, a = place(marked[edges])
+        yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(a, pa.int32()), pa.array(a + (marked[stop] - marked[edges]) + length, pa.int32())], ["doc_id", "a", "b"])
 
 
-def _sort_shard(table: pa.Table, length: int, budget: int, small: int) -> pa.Table:
-    runs = repeated_windows(table.column("doc_id").to_numpy(), table.column("start").to_numpy().astype(np.int64), table.column("piece").to_pylist(), length, budget, small)
-    columns = list(zip(*runs, strict=True)) or [()] * 3
-    return pa.table([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.int32()), strict=True)], ["doc_id", "a", "b"])
-
-
-def repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES, budget: int = QUEUE_BYTES, small: int = 1 << 22) -> DataFrame:
+def _window_hashes(batches, length: int):
+    """(window, doc_id, pos) of every window of the segments."""
+    for batch in batches:
+        for part in slices([batch], 512):
+            raw = part.column(2)
+            offsets = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset : raw.offset + len(raw) + 1]
+            held = np.frombuffer(raw.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+            offsets = offsets - offsets[0]
+            row = np.repeat(np.arange(len(raw)), np.diff(offsets))
+            if len(held) < length:
+                continue
+            hashes = Rolling(held).windows(length)
+            at = np.flatnonzero(row[: len(hashes)] == row[length - 1 :])
+            row = row[at]
+            columns = [hashes[at].view(np.int64), part.column(0).to_numpy()[row], part.column(1).to_numpy()[row] + at - offsets[row]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int32()), strict=True)], ["window", "doc_id", "pos"])
+
+
+def repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES, budget: int = QUEUE_BYTES, small: int = SMALL, hot: int = HOT) -> DataFrame:
     """A written table (doc_id, spans): the byte ranges [a, b) of each document under windows that start earlier; ranges
-    may touch or overlap."""
+    may touch or overlap. No join or group has a key that one passage can fill: places are joined by document and
+    position, and whatever is counted by content is aggregated in part first."""
+    spark = docs.sparkSession
     texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = texts.mapInArrow(lambda it: _anchors(it, length, anchor), _ANCHOR_SCHEMA)
     # written first, so that the join has exchanges of its own, whose large partitions Spark splits
-    often = cut(found.select("anchor").groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
+    often = cut(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     twice = cut(found.join(often, "anchor", "left_semi"))
-    drop_cut(docs.sparkSession, often)
-    place = F.struct("doc_id", "pos")
-    firsts = twice.groupBy("anchor", "content").agg(F.min(place).alias("first"))
-    known = cut(twice.join(firsts, ["anchor", "content"]).select("doc_id", "pos", "ext", "anchor", (place > F.col("first")).alias("again")))
-    drop_cut(docs.sparkSession, twice)
-    start, end = F.col("pos") - F.shiftright("ext", 8), F.col("pos") + F.col("ext").bitwiseAND(255)
-    copies = known.where("again").select("doc_id", start.alias("a"), end.alias("b")).where(F.col("b") - F.col("a") >= length)
-    owners = known.where("not again").select("doc_id", "pos", "ext", "anchor").dropDuplicates(["doc_id", "pos"])
-    places = owners.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "ext", "anchor")).alias("places"))  # as many as the document's anchors
+    drop_cut(spark, often)
+    by_content = twice.where("pos >= 0").groupBy("anchor", "content").agg(F.min(F.struct("doc_id", "pos", "a", "b")).alias("f"))
+    owners = cut(by_content.select("f.*", "anchor").dropDuplicates(["doc_id", "pos"]))
+    copies = twice.join(owners, ["doc_id", "pos"], "left_anti").where(F.col("b") - F.col("a") >= length).select("doc_id", "a", "b")
+    places = owners.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "a", "b", "anchor")).alias("places"))  # as many as the document's anchors
     few = split(texts, id_filter(owners), True)
     pieces = cut(few.join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(lambda it: _segments(it, length, anchor), _SEGMENT_SCHEMA))
-    cores = pieces.select("anchor", "doc_id", "start", F.explode("cores").alias("core"))
-    shared = cores.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
-    alike = cores.join(shared, "core", "left_semi").select("anchor", "doc_id", "start").distinct()
-    chosen = cut(pieces.join(alike, ["anchor", "doc_id", "start"], "left_semi").select("anchor", "doc_id", "start", "piece"))
+    cores = pieces.select("doc_id", "start", "anchor", F.size("cores").alias("n"), F.explode("cores").alias("core"))
+    single = cores.groupBy("core").agg(F.count("*").alias("m"), F.min(F.struct("doc_id", "start", "anchor", "n")).alias("f")).where("m = 1").select("f.*")
+    lonely = single.groupBy("doc_id", "start", "anchor").agg(F.count("*").alias("m"), F.max("n").alias("n")).where("m = n").select("doc_id", "start", "anchor")
+    chosen = cut(pieces.where(F.size("cores") > 0).join(lonely, ["doc_id", "start", "anchor"], "left_anti").select("anchor", "doc_id", "start", "piece"))
+    drop_cut(spark, pieces)
+    large = cut(chosen.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("anchor"))
     shards = max(1, -(-chosen.count() * (2 * length - anchor) // shard_bytes))
-    segments = chosen.withColumn("shard", F.pmod("anchor", F.lit(shards)).cast("int")).select("shard", "doc_id", "start", "piece")
-    sorted_ = segments.groupBy("shard").applyInArrow(lambda t: _sort_shard(t, length, budget, small), "doc_id long, a int, b int")
-    return cut(copies.union(sorted_).groupBy("doc_id").agg(F.collect_set(F.struct("a", "b")).alias("spans")))
+    mild, spans = chosen, [copies]
+    if not large.isEmpty():
+        mild = chosen.join(large, "anchor", "left_anti")
+        windows = cut(chosen.join(large, "anchor", "left_semi").select("doc_id", "start", "piece").mapInArrow(lambda it: _window_hashes(it, length), "window long, doc_id long, pos int"))
+        firsts = windows.groupBy("window").agg(F.min(F.struct("doc_id", "pos")).alias("f")).select("f.*")
+        spans.append(windows.join(firsts, ["doc_id", "pos"], "left_anti").select("doc_id", F.col("pos").alias("a"), (F.col("pos") + length).alias("b")))
+
+    def sort_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from repeated_windows(batches, length, budget, small)
+
+    segments = mild.select(F.pmod("anchor", F.lit(shards)).cast("int").alias("shard"), "doc_id", "start", "piece")
+    spans.append(segments.groupBy("shard").applyInArrow(sort_shard, "doc_id long, a int, b int"))
+    out = cut(functools.reduce(DataFrame.union, spans).groupBy("doc_id").agg(F.collect_set(F.struct("a", "b")).alias("spans")))
+    for table in (twice, owners, chosen, large):
+        drop_cut(spark, table)
+    return out
 
 
 def merged(starts: np.ndarray, ends: np.ndarray, size: int) -> list[tuple[int, int]]:
