@@ -30,7 +30,7 @@ def scratch(n: int, dtype, budget: int) -> np.ndarray:
         return np.zeros(n, dtype)
     with tempfile.TemporaryFile() as file:
         file.truncate(size)
-        return np.memmap(file, dtype, "r+", shape=(n,))
+        return np.asarray(np.memmap(file, dtype, "r+", shape=(n,)))
 
 
 class Growing:
@@ -56,7 +56,7 @@ class Growing:
         for p in self.parts:
             self.file.write(p.data)
         self.file.flush()
-        return np.memmap(self.file, self.dtype, "r")
+        return np.asarray(np.memmap(self.file, self.dtype, "r"))
 
 
 class BlockQueue:
@@ -204,6 +204,7 @@ class Level:
         for part in reversed(lms):
             ordered.append(part[::-1])
         self.lms = ordered.array()
+        self.number = None  # of the LMS position at a place of the text, while names are given
         self.top = len(self.counts) - 1
 
     # ------------------------------------------------------------ order alone
@@ -341,7 +342,9 @@ class Level:
                 elif (block := rough.take(key, m)) is not None:
                     yield block[0][np.argsort(self.text[block[0]], kind="stable")]
 
-        names = scratch(m, self.index, self.budget)
+        names, self.number = scratch(m, self.index, self.budget), scratch(self.n, self.index, self.budget)
+        for a in range(0, m, CHUNK):
+            self.number[lms[a : a + CHUNK]] = np.arange(a, min(a + CHUNK, m))
         count, last = 0, None  # names fall from the largest on
         for smaller, pos in self.both_scans(by_symbol()):
             if not smaller:
@@ -352,7 +355,7 @@ class Level:
             full = pos if last is None else np.concatenate([[last], pos])
             new = ~self._same(full[:-1], full[1:])
             ranks = count + np.cumsum(np.append(0, new) if last is None else new)
-            names[np.searchsorted(lms, pos)] = ranks
+            names[self.number[pos]] = ranks
             count, last = int(ranks[-1]), pos[-1]
         self.spilled += rough.spilled
         rough.close()
@@ -361,6 +364,7 @@ class Level:
             b = min(a + CHUNK, m - 1)
             reduced[a:b] = count + 1 - names[a:b]
         del names
+        self.number = None
         if count + 1 == m - 1:  # every name once: the names are the order
             order = scratch(m, self.index, self.budget)
             for a in range(0, m, CHUNK):
@@ -375,9 +379,9 @@ class Level:
             yield np.asarray(lms[order[a : a + CHUNK]], np.int64)
 
     def _same(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether the LMS substrings at a and b are equal."""
+        """Whether the LMS substrings at a and b are equal, while places have their LMS numbers."""
         lms, m = self.lms, len(self.lms)
-        size = lambda p: lms[np.minimum(np.searchsorted(lms, p) + 1, m - 1)] - p + 1
+        size = lambda p: lms[np.minimum(self.number[p] + 1, m - 1)] - p + 1
         long = size(a).astype(np.int64)
         same = long == size(b)
         live, k = np.flatnonzero(same), 0
@@ -419,7 +423,7 @@ class Level:
 class Induction(Level):
     """Suffixes of a text of few symbols (1024 at most) in order, with the prefixes neighbours share, up to cap."""
 
-    def __init__(self, text: np.ndarray, cap: int = 0, budget: int = 256 << 20, small: int = 1 << 16):
+    def __init__(self, text: np.ndarray, cap: int = 0, budget: int = 256 << 20, small: int = 1 << 20):
         super().__init__(text, budget, small)
         self.cap = cap
 

@@ -31,7 +31,7 @@ from fleetlens.llm.induced_sort import Growing, Induction, scratch
 
 LENGTH, ANCHOR = 100, 24
 #: Bytes of segments in a shard, of a queue or array that a sort holds in memory, and the texts that are sorted by doubling.
-SHARD_BYTES, QUEUE_BYTES, SMALL = 8 << 20, 4 << 20, 1 << 16
+SHARD_BYTES, QUEUE_BYTES, SMALL = 8 << 20, 4 << 20, 1 << 20
 #: Segments of one anchor beyond which its windows are counted by hash.
 HOT = 20_000
 #: Bits of the filter of documents with repeats; it has this size whatever the input, and only saves shuffling.
@@ -195,8 +195,12 @@ def repeated_windows(batches, length: int = LENGTH, budget: int = QUEUE_BYTES, s
         return docs[segment], starts[segment] + pos - (ends[segment] - sizes[segment])
 
     for pos, lcp in Induction(text, length, budget, small).descending():
-        pos, group = pos.astype(np.int64), np.cumsum(lcp < length)
-        top, segment = group[-1], np.minimum(np.searchsorted(ends, pos), len(ends) - 1)
+        equal = lcp >= length
+        group = np.cumsum(~equal)
+        top = group[-1]
+        several = equal | np.append(equal[1:], True)  # the chunk's last may have its equals in the next one
+        pos, group = pos[several].astype(np.int64), group[several]
+        segment = np.minimum(np.searchsorted(ends, pos), len(ends) - 1)
         ok = (pos + length <= ends[segment]) & (pos < len(text) - 1)
         pos, group = np.concatenate([first, pos[ok]]), np.concatenate([np.zeros(len(first), np.int64), group[ok]])
         if len(pos):
