@@ -4,8 +4,8 @@ A byte goes if a 100-byte string over it also starts earlier in the corpus. Stri
 
 1. Every text is sampled by content: of each 100-byte window the 24-byte string with the smallest hash is its anchor, so
    equal windows have equal anchors at equal places. Around each anchor, the bytes that its windows can reach are a
-   segment. Segments that repeat within a text are told at once and go no further, so that a periodic text is a few rows.
-   Anchors that occur once in the corpus are left behind; no window that repeats is.
+   segment. A task compares its segments first: of equal ones only the first goes on, so that copies and periodic texts
+   are few rows. Then anchors that occur once in the corpus are left behind; no window that repeats is.
 2. Equal segments are one, with its first place; what stands at the other places is a repeat.
 3. A window that stands in two different segments has the same bytes around its anchor in both, a core of 81 bytes at
    one of four places; segments without such a core in common with another cannot share a window and are done.
@@ -31,7 +31,7 @@ from fleetlens.llm.induced_sort import Growing, Induction, scratch
 
 LENGTH, ANCHOR = 100, 24
 #: Bytes of segments in a shard, of a queue or array that a sort holds in memory, and the texts that are sorted by doubling.
-SHARD_BYTES, QUEUE_BYTES, SMALL = 8 << 20, 4 << 20, 1 << 20
+SHARD_BYTES, QUEUE_BYTES, SMALL = 2 << 20, 2 << 20, 1 << 18
 #: Segments of one anchor beyond which its windows are counted by hash.
 HOT = 20_000
 #: Bits of the filter of documents with repeats; it has this size whatever the input, and only saves shuffling.
@@ -62,13 +62,56 @@ def anchors(data: np.ndarray, row: np.ndarray, rolling: Rolling, length: int = L
     return at, hashes[at]
 
 
-_ANCHOR_SCHEMA = "doc_id long, pos int, a int, b int, anchor long, content long"
+_ANCHOR_SCHEMA = "doc_id long, pos int, a int, b int, anchor long, content long, sure boolean"
+#: Segments that a task compares among themselves before it sends them; so many of one anchor are many.
+BUFFER, MANY = 1 << 19, 64
+#: Fixed values of pos: a run of repeats, and a sign that an anchor repeats.
+RUN, SIGN = -1, -2
+
+
+def runs(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges [a, b) of documents, with those joined that touch or overlap and end in order."""
+    order = np.lexsort((b, a, doc))
+    doc, a, b = doc[order], a[order], b[order]
+    first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (a[1:] > b[:-1]) | (b[1:] < b[:-1])])) if len(doc) else np.zeros(0, np.int64)
+    return doc[first], a[first], b[np.append(first[1:], len(doc)) - 1] if len(doc) else b
+
+
+def _sent(parts: list[tuple]) -> pa.RecordBatch:
+    """What a task sends of its segments (doc, pos, a, b, anchor, content): of equal ones the first, the others as runs of
+    repeats. Anchors with many different segments here repeat for sure: their rows say so and may be spread by content, and
+    a sign stands in for them where rows of the same anchor meet."""
+    doc, pos, a, b, anchor, content = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.argsort(anchor, kind="stable")
+    same = anchor[order[1:]] == anchor[order[:-1]]
+    order = order[np.append(same, False) | np.concatenate([[False], same])] if len(order) else order
+    order = order[np.lexsort((pos[order], doc[order], content[order], anchor[order]))]
+    x, y = anchor[order], content[order]
+    begins = np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]) if len(order) else np.zeros(0, bool)
+    at = np.flatnonzero(begins)
+    head = np.repeat(at, np.diff(np.append(at, len(order))))
+    kept = np.ones(len(doc), bool)
+    kept[order[~begins]] = False
+    again = order[~begins & ((doc[order] != doc[order[head]]) | (pos[order] != pos[order[head]]))]  # not a row given twice
+    names, counts = np.unique(x[begins], return_counts=True)
+    names = names[counts > MANY]
+    sure = np.zeros(len(doc), bool)
+    sure[order] = np.isin(x, names)
+    run_doc, run_a, run_b = runs(doc[again], a[again], b[again])
+    n, m, kept = len(run_doc), len(names), np.flatnonzero(kept)
+    spread = mix(run_doc.view(np.uint64) ^ (run_a.astype(np.uint64) << np.uint64(32)))
+    zero = np.zeros(m, np.int32)
+    columns = [
+        np.concatenate([doc[kept], run_doc, zero]), np.concatenate([pos[kept], np.full(n, RUN), np.full(m, SIGN)]), np.concatenate([a[kept], run_a, zero]), np.concatenate([b[kept], run_b, zero]),
+        np.concatenate([anchor[kept], spread, names]).view(np.int64), np.concatenate([content[kept], spread, names]).view(np.int64), np.concatenate([sure[kept], np.ones(n, bool), np.zeros(m, bool)]),
+    ]
+    kinds = [pa.int64(), *[pa.int32()] * 3, *[pa.int64()] * 2, pa.bool_()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "pos", "a", "b", "anchor", "content", "sure"])
 
 
 def _anchors(batches, length: int, size: int):
-    """A row for each different segment of a text: its anchor's place, its bytes [a, b), its anchor, its content. Those that
-    stand in the text once more are joined to runs [a, b) without a place (-1)."""
-    names, kinds = ["doc_id", "pos", "a", "b", "anchor", "content"], [pa.int64(), *[pa.int32()] * 3, *[pa.int64()] * 2]
+    """Rows for the segments of the texts; see _sent."""
+    parts, held = [], 0
     for batch in batches:
         data, offsets = utf8(batch.column(1))
         ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -83,18 +126,55 @@ def _anchors(batches, length: int, size: int):
             left = np.minimum(pos, length - size)
             right = np.minimum(part[row + 1] - at, length)
             content = mix(rolling.spans(at - left, at + right) ^ (left.astype(np.uint64) << np.uint64(40)))
-            order = np.lexsort((pos, content, row))
-            again = np.zeros(len(at), bool)
-            again[order[1:]] = (content[order[1:]] == content[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
-            a, b, twice = pos - left, pos + right, np.flatnonzero(again)
-            # copies that follow each other under one anchor are one run
-            same = (row[twice][1:] == row[twice][:-1]) & (hashes[twice][1:] == hashes[twice][:-1]) & (a[twice][1:] <= b[twice][:-1])
-            edges = np.flatnonzero(np.concatenate([[True], ~same])) if len(twice) else np.zeros(0, np.int64)
-            ends = twice[np.append(edges[1:], len(twice)) - 1] if len(twice) else twice
-            once, twice = np.flatnonzero(~again), twice[edges]
-            where = np.concatenate([once, twice])
-            columns = [ids[first + row[where]], np.concatenate([pos[once], np.full(len(twice), -1)]), a[where], np.concatenate([b[once], b[ends]]), hashes[where].view(np.int64), content[where].view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+            parts.append((ids[first + row], pos.astype(np.int32), (pos - left).astype(np.int32), (pos + right).astype(np.int32), hashes, content))
+            held += len(at)
+            if held >= BUFFER:
+                yield _sent(parts)
+                parts, held = [], 0
+    if parts:
+        yield _sent(parts)
+
+
+_MARKED_SCHEMA = "doc_id long, pos int, a int, b int, anchor long, again boolean"
+
+
+def _marked(batches):
+    """Of rows in the order of anchor, content and place: those of anchors that repeat, and whether a row repeats an earlier
+    one's segment. One row and the first of its equals are carried from batch to batch."""
+    names = ["doc_id", "pos", "a", "b", "anchor", "content", "sure"]
+    tail = first = None  # the last row, not yet sent, with whether its anchor stood before it; the first of its equals
+
+    def send(rows, twice, again):
+        ok = (twice | rows["sure"]) & (rows["pos"] != SIGN) & ~again["row"]
+        again_ = again["copy"] | (rows["pos"] == RUN)
+        return pa.RecordBatch.from_arrays([pa.array(v[ok], k) for v, k in zip((rows["doc_id"], rows["pos"], rows["a"], rows["b"], rows["anchor"], again_), (pa.int64(), *[pa.int32()] * 3, pa.int64(), pa.bool_()), strict=True)], ["doc_id", "pos", "a", "b", "anchor", "again"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
+        before = first is not None
+        keys = ("anchor", "content", "doc_id", "pos")
+        anchor, content, doc, pos = (np.concatenate([first[n], rows[n]]) if before else rows[n] for n in keys)
+        # the carried head stands in front; equal to it is what goes on with its group
+        begins = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])])
+        at = np.flatnonzero(begins)
+        head = np.repeat(at, np.diff(np.append(at, len(anchor))))
+        other = (doc != doc[head]) | (pos != pos[head])
+        copy, row = (~begins & other)[before:], (~begins & ~other)[before:]
+        near = anchor[1:] == anchor[:-1]
+        twice = (np.concatenate([near, [False]]) | np.concatenate([[False], near]))[before:]
+        if tail is not None:
+            held, t_twice, t_again = tail
+            yield send(held, t_twice | np.array([held["anchor"][0] == rows["anchor"][0]]), t_again)
+        again = {"copy": copy, "row": row}
+        if len(copy) > 1:
+            yield send({n: v[:-1] for n, v in rows.items()}, twice[:-1], {n: v[:-1] for n, v in again.items()})
+        tail = ({n: v[-1:] for n, v in rows.items()}, twice[-1:], {n: v[-1:] for n, v in again.items()})
+        k = head[-1]
+        first = {n: v[k : k + 1] for n, v in zip(keys, (anchor, content, doc, pos), strict=True)}
+    if tail is not None:
+        yield send(*tail)
 
 
 def id_filter(ids: DataFrame):
@@ -246,20 +326,18 @@ def repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shard_b
     spark = docs.sparkSession
     texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = texts.mapInArrow(lambda it: _anchors(it, length, anchor), _ANCHOR_SCHEMA)
-    # written first, so that the join has exchanges of its own, whose large partitions Spark splits
-    often = cut(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
-    twice = cut(found.join(often, "anchor", "left_semi"))
-    drop_cut(spark, often)
-    by_content = twice.where("pos >= 0").groupBy("anchor", "content").agg(F.min(F.struct("doc_id", "pos", "a", "b")).alias("f"))
-    owners = cut(by_content.select("f.*", "anchor").dropDuplicates(["doc_id", "pos"]))
-    copies = twice.join(owners, ["doc_id", "pos"], "left_anti").where(F.col("b") - F.col("a") >= length).select("doc_id", "a", "b")
+    route = F.when(F.col("sure"), F.xxhash64("anchor", "content")).otherwise(F.col("anchor"))
+    marked = cut(found.repartition(route).sortWithinPartitions("anchor", "content", "doc_id", "pos").mapInArrow(_marked, _MARKED_SCHEMA))
+    copies = marked.where(F.col("again") & (F.col("b") - F.col("a") >= length)).select("doc_id", "a", "b")
+    owners = marked.where("not again")
     places = owners.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "a", "b", "anchor")).alias("places"))  # as many as the document's anchors
     few = split(texts, id_filter(owners), True)
     pieces = cut(few.join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(lambda it: _segments(it, length, anchor), _SEGMENT_SCHEMA))
     cores = pieces.select("doc_id", "start", "anchor", F.size("cores").alias("n"), F.explode("cores").alias("core"))
-    single = cores.groupBy("core").agg(F.count("*").alias("m"), F.min(F.struct("doc_id", "start", "anchor", "n")).alias("f")).where("m = 1").select("f.*")
+    # of a core that stands once, the smallest of each column are those of its only row
+    single = cores.groupBy("core").agg(F.count("*").alias("m"), *[F.min(c).alias(c) for c in ("doc_id", "start", "anchor", "n")]).where("m = 1")
     lonely = single.groupBy("doc_id", "start", "anchor").agg(F.count("*").alias("m"), F.max("n").alias("n")).where("m = n").select("doc_id", "start", "anchor")
-    chosen = cut(pieces.where(F.size("cores") > 0).join(lonely, ["doc_id", "start", "anchor"], "left_anti").select("anchor", "doc_id", "start", "piece"))
+    chosen = cut(pieces.where(F.size("cores") > 0).join(lonely.hint("shuffle_hash"), ["doc_id", "start", "anchor"], "left_anti").select("anchor", "doc_id", "start", "piece"))
     drop_cut(spark, pieces)
     large = cut(chosen.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("anchor"))
     shards = max(1, -(-chosen.count() * (2 * length - anchor) // shard_bytes))
@@ -275,8 +353,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shard_b
 
     segments = mild.select(F.pmod("anchor", F.lit(shards)).cast("int").alias("shard"), "doc_id", "start", "piece")
     spans.append(segments.groupBy("shard").applyInArrow(sort_shard, "doc_id long, a int, b int"))
-    out = cut(functools.reduce(DataFrame.union, spans).groupBy("doc_id").agg(F.collect_set(F.struct("a", "b")).alias("spans")))
-    for table in (twice, owners, chosen, large):
+    out = cut(functools.reduce(DataFrame.union, spans).groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("spans")))
+    for table in (marked, chosen, large):
         drop_cut(spark, table)
     return out
 
