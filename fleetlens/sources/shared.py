@@ -5,6 +5,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's setting for removing the shuffle files of a query that has ended.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir; where it is unset a new temporary folder, on a local master only, as executors on other
@@ -25,7 +28,13 @@ def new_path(spark: SparkSession, kind: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df written as a table in the shared folder and read back, so that losing an executor costs no recomputation."""
-    path = new_path(df.sparkSession, "cut")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df written as a table in the shared folder and read back, so that losing an executor costs no recomputation. The
+    write's shuffle files go as soon as the table stands."""
+    spark = df.sparkSession
+    path, before = new_path(spark, "cut"), spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
