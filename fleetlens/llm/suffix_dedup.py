@@ -8,7 +8,8 @@ A byte goes if a 100-byte string over it also starts earlier in the corpus. Stri
    are few rows. Then anchors that occur once in the corpus are left behind; no window that repeats is.
 2. Equal segments are one, with its first place; what stands at the other places is a repeat.
 3. A window that stands in two different segments has the same bytes around its anchor in both, a core of 81 bytes at
-   one of four places; segments without such a core in common with another cannot share a window and are done.
+   one of four places; segments without such a core in common with another cannot share a window and are done, and the
+   others are cut to what windows around their common cores can reach.
 4. The other segments are dealt by anchor to shards of about SHARD_BYTES, which are read as streams into scratch files and
    whose suffixes are sorted (module induced_sort). Windows whose suffixes share 100 bytes or more with their neighbours in
    that order are equal, and all but the first are repeats.
@@ -31,7 +32,7 @@ from fleetlens.llm.induced_sort import Growing, Induction, scratch
 
 LENGTH, ANCHOR = 100, 24
 #: Bytes of segments in a shard, of a queue or array that a sort holds in memory, and the texts that are sorted by doubling.
-SHARD_BYTES, QUEUE_BYTES, SMALL = 2 << 20, 2 << 20, 1 << 18
+SHARD_BYTES, QUEUE_BYTES, SMALL = 4 << 20, 4 << 20, 1 << 20
 #: Segments of one anchor beyond which its windows are counted by hash.
 HOT = 20_000
 #: Bits of the filter of documents with repeats; it has this size whatever the input, and only saves shuffling.
@@ -203,11 +204,16 @@ def split(docs: DataFrame, shared, want: bool) -> DataFrame:
     return docs.withColumn("__bit", bit).mapInArrow(lambda it: _split(it, shared, want), docs.schema)
 
 
-_SEGMENT_SCHEMA = "anchor long, doc_id long, start int, piece binary, cores array<long>"
+_SEGMENT_SCHEMA = "anchor long, doc_id long, start int, pos int, piece binary, cores array<long>"
 #: A window lies in one of so many cells by where its anchor is in it; windows of a cell share a core around the anchor.
 CELLS = 4
 
 
+def cell_step(length: int, size: int) -> int:
+    """A window of cell j begins step * j to step * (j + 1) bytes before its anchor."""
+    return -(-(length - size) // CELLS)
+
+
 def structs(column: pa.Array, *fields: str) -> tuple[np.ndarray, list[np.ndarray]]:
     """Of a column of arrays of structs: where each row's entries begin (and the last end), and the fields' values."""
     sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
@@ -216,9 +222,10 @@ def structs(column: pa.Array, *fields: str) -> tuple[np.ndarray, list[np.ndarray
 
 
 def _segments(batches, length: int, size: int):
-    """A row for each place of a text: the segment's bytes and the hashes of its cores, told apart by cell."""
-    step = -(-(length - size) // CELLS)
-    names, kinds = ["anchor", "doc_id", "start", "piece", "cores"], (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    """A row for each place of a text: the segment's bytes and for each cell the hash of its core, null where the text has
+    no room for it."""
+    step = cell_step(length, size)
+    names, kinds = ["anchor", "doc_id", "start", "pos", "piece", "cores"], (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
     for batch in batches:
         entries, fields = structs(batch.column(2), "pos", "a", "b", "anchor")
         data, offsets = utf8(batch.column(1))
@@ -239,8 +246,9 @@ def _segments(batches, length: int, size: int):
             raw, starts, stops = block.tobytes(), (base + a).tolist(), (base + b).tolist()
             for k in range(0, len(pos), BATCH):
                 s = slice(k, k + BATCH)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(ok[s].sum(1))]), pa.int32()), pa.array(cores[s][ok[s]].view(np.int64)))
-                columns = (anchor[s], ids[first + row[s]], a[s], [raw[x:y] for x, y in zip(starts[s], stops[s], strict=True)])
+                values = pa.array(cores[s].reshape(-1).view(np.int64), mask=~ok[s].reshape(-1))
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(ok[s]) + 1) * CELLS, pa.int32()), values)
+                columns = (anchor[s], ids[first + row[s]], a[s], pos[s], [raw[x:y] for x, y in zip(starts[s], stops[s], strict=True)])
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(columns, kinds, strict=True)), lists], names)
 
 
@@ -333,14 +341,23 @@ def repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shard_b
     places = owners.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "a", "b", "anchor")).alias("places"))  # as many as the document's anchors
     few = split(texts, id_filter(owners), True)
     pieces = cut(few.join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(lambda it: _segments(it, length, anchor), _SEGMENT_SCHEMA))
-    cores = pieces.select("doc_id", "start", "anchor", F.size("cores").alias("n"), F.explode("cores").alias("core"))
+    cores = pieces.select("doc_id", "start", "anchor", F.posexplode("cores").alias("cell", "core")).where("core is not null")
     # of a core that stands once, the smallest of each column are those of its only row
-    single = cores.groupBy("core").agg(F.count("*").alias("m"), *[F.min(c).alias(c) for c in ("doc_id", "start", "anchor", "n")]).where("m = 1")
-    lonely = single.groupBy("doc_id", "start", "anchor").agg(F.count("*").alias("m"), F.max("n").alias("n")).where("m = n").select("doc_id", "start", "anchor")
-    chosen = cut(pieces.where(F.size("cores") > 0).join(lonely.hint("shuffle_hash"), ["doc_id", "start", "anchor"], "left_anti").select("anchor", "doc_id", "start", "piece"))
+    single = cores.groupBy("core").agg(F.count("*").alias("m"), *[F.min(c).alias(c) for c in ("doc_id", "start", "anchor", "cell")]).where("m = 1")
+    alone = single.groupBy("doc_id", "start", "anchor").agg(F.sum(F.expr("shiftleft(1, cell)")).cast("int").alias("alone"))
+    has = F.aggregate(F.transform("cores", lambda x, j: F.when(x.isNull(), 0).otherwise(F.pow(F.lit(2), j).cast("int"))), F.lit(0), lambda a, x: a + x)
+    joined = pieces.withColumn("has", has).join(alone.hint("shuffle_hash"), ["doc_id", "start", "anchor"], "left")
+    shared = joined.withColumn("cells", F.col("has").bitwiseAND(F.bitwise_not(F.coalesce("alone", F.lit(0))))).where("cells <> 0")
+    # only what windows of cells with a core in common can reach is left of a segment
+    step, masks = cell_step(length, anchor), range(1 << CELLS)
+    table = lambda f: F.element_at(F.array(*[F.lit(f(m)) for m in masks]), F.col("cells") + 1)
+    lowest, highest = table(lambda m: (m & -m).bit_length() - 1), table(lambda m: m.bit_length() - 1)
+    begin = F.greatest(F.col("start"), F.col("pos") - step * (highest + 1))
+    end = F.least(F.col("start") + F.length("piece"), F.col("pos") + length - step * lowest)
+    chosen = cut(shared.select("anchor", "doc_id", begin.alias("start"), F.substring("piece", begin - F.col("start") + 1, end - begin).alias("piece")))
     drop_cut(spark, pieces)
     large = cut(chosen.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("anchor"))
-    shards = max(1, -(-chosen.count() * (2 * length - anchor) // shard_bytes))
+    shards = max(1, -(-(chosen.agg(F.sum(F.length("piece") + 1)).first()[0] or 0) // shard_bytes))
     mild, spans = chosen, [copies]
     if not large.isEmpty():
         mild = chosen.join(large, "anchor", "left_anti")
