@@ -1,18 +1,24 @@
 """Main text of web pages by consensus host paths.
 
-Each page's containers are scored by the text they hold; a container is known by its path of tags and classes, with
-digits and item numbers generalised. Spark adds up the scores per host, so the path that wins is the one the host's pages
-agree on, and every page is read again with the winning path (or, where it lacks it, with its own best container).
+Each page's containers are scored by the text they hold; a container is known by a hash of its path of tags and classes,
+with digits and item numbers generalised. Spark adds up the scores per host, so the path that wins is the one the host's
+pages agree on, and every page is read again with the winning path (or, where it lacks it, with its own best container).
+
+Elements whose class or id speaks of menus, adverts or comments are not dropped outright: they are one level deeper than
+what is around them, and text votes for containers of its own level only. The outermost level wins unless it holds little
+beside a deeper one, so a wrapper called has-sidebar keeps its article, and a long list of comments does not beat one.
 """
 
 import html as entities
 import re
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import cut
+from fleetlens.llm.common import cut, slices
 
 #: Elements without content, elements whose text is no text, and elements that are no part of an article.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -25,21 +31,36 @@ UNWANTED = set("ad ads advert adverts advertisement banner sponsor sponsored pro
 ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 #: p ends at the start of these; li, dt, dd, option, tr, td and th end at their own kind.
 ENDS_P = BLOCK - {"html", "body", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"} | {"form", "nav", "aside", "footer", "menu"}
+HOLDS_P = {"div", "td", "th", "table", "button", "article", "section", "main", "li"}
 OWN_KIND = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+HOLDS_OWN = {"ul", "ol", "dl", "table", "select"}
+#: Blocks that are no containers of an article.
+INNER = set("p h1 h2 h3 h4 h5 h6 li ul ol blockquote pre table tbody tr td th dl dt dd figure figcaption header".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
 _WORD = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
 #: A title or header inside an article belongs to it.
 _HOLDERS = {"article", "main"}
+#: A level's best container stands for the page if it has this share of the best score of any level.
+ENOUGH = 0.2
+#: A container's text counts for so many containers around it, half as much each time.
+REACH = 12
 
 
 class Node:
-    __slots__ = ("depth", "length", "links", "path", "skip", "tag", "texts")
+    """An open element: the hash of its path, its level (unwanted elements around it), whether it is out of the article for
+    sure, in a link, in a first heading; up is the element around it, box the nearest container."""
+
+    __slots__ = ("box", "h1", "inside", "level", "link", "name", "path", "skip", "tag", "up")
 
-    def __init__(self, tag: str, path: str, skip: bool, depth: int):
-        self.tag, self.path, self.skip, self.depth = tag, path, skip, depth
-        self.length = self.links = 0
+    def __init__(self, tag: str, name: str, up: "Node | None", skip: bool, soft: bool):
+        self.tag, self.name, self.up, self.skip, self.inside = tag, name + "!" * soft, up, skip, False
+        self.path = xxhash.xxh64_intdigest(self.name, up.path) if up else 0
+        self.level = up.level + soft if up else 0
+        self.link = bool(up and up.link) or tag == "a"
+        self.h1 = bool(up and up.h1) or tag == "h1"
+        self.box = self if tag in BLOCK and tag not in INNER else up.box if up else None
 
 
 def generalised(tag: str, attrs: dict[str, str]) -> str:
@@ -48,24 +69,43 @@ def generalised(tag: str, attrs: dict[str, str]) -> str:
     return ".".join([tag, *names])
 
 
-def unwanted(tag: str, attrs: dict[str, str], inside: bool) -> bool:
+def out_for_sure(tag: str, attrs: dict[str, str], inside: bool) -> bool:
     if tag in ASIDE or tag == "header" and not inside or "hidden" in attrs:
         return True
-    if attrs.get("role", "").lower() in ROLES or attrs.get("aria-hidden", "").lower() == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower():
-        return True
+    return attrs.get("role", "").lower() in ROLES or attrs.get("aria-hidden", "").lower() == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower()
+
+
+def unwanted(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether the class or id of an element has a word of what is no part of an article."""
     if tag in ("html", "body", "article", "main"):
         return False
     return any(not UNWANTED.isdisjoint(_WORD.findall(attrs.get(k, "").lower())) for k in ("class", "id"))
 
 
-def parse(page: str):
-    """Events of a page in order: (text, chain of open nodes, block number). Unwanted parts and markup are left out."""
-    stack = [Node("", "", False, 0)]
+def parse(page: str) -> list[tuple[str, Node, int]]:
+    """Texts of a page in order, each with its element and block number, without markup and what is out for sure. Takes
+    time in proportion to the page, however deep its elements are."""
+    stack, open_ = [Node("", "", None, False, False)], {}
     events, at, block, n = [], 0, 0, len(page)
 
     def text(raw: str) -> None:
         if raw and not stack[-1].skip:
-            events.append((entities.unescape(raw) if "&" in raw else raw, tuple(stack), block))
+            events.append((entities.unescape(raw) if "&" in raw else raw, stack[-1], block))
+
+    def close(k: int) -> None:
+        for x in stack[k:]:
+            open_[x.tag] -= 1
+        del stack[k:]
+
+    def ends(kinds: set[str], holders: set[str]) -> None:
+        if not any(open_.get(t) for t in kinds):
+            return
+        for k in range(len(stack) - 1, 0, -1):
+            if stack[k].tag in kinds:
+                close(k)
+                return
+            if stack[k].tag in holders:
+                return
 
     while at < n:
         m = _TOKEN.search(page, at)
@@ -80,29 +120,21 @@ def parse(page: str):
             continue
         tag = m["tag"].lower()
         if m["close"]:
-            if tag == "p" and all(x.tag != "p" for x in stack):
+            if tag == "p" and not open_.get("p"):
                 block += 1
-            if any(x.tag == tag for x in stack):
-                while stack.pop().tag != tag:
-                    pass
+            if open_.get(tag):
+                k = len(stack) - 1
+                while stack[k].tag != tag:
+                    k -= 1
+                close(k)
             if tag in BLOCK or tag in ASIDE:
                 block += 1
             continue
         attrs = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(m["attrs"])} if m["attrs"].strip(" /") else {}
-        if tag in ENDS_P and stack[-1].tag != "":
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    del stack[k:]
-                    break
-                if stack[k].tag in ("div", "td", "th", "table", "button", "article", "section", "main", "li"):
-                    break
+        if tag in ENDS_P:
+            ends({"p"}, HOLDS_P)
         if tag in OWN_KIND:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in OWN_KIND[tag]:
-                    del stack[k:]
-                    break
-                if stack[k].tag in ("ul", "ol", "dl", "table", "select"):
-                    break
+            ends(OWN_KIND[tag], HOLDS_OWN)
         if tag in BLOCK or tag in ASIDE:
             block += 1
         if tag in VOID:
@@ -113,40 +145,73 @@ def parse(page: str):
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
             continue
-        top = stack[-1]
-        inside = any(x.tag in _HOLDERS for x in stack)
-        stack.append(Node(tag, f"{top.path}/{generalised(tag, attrs)}", top.skip or unwanted(tag, attrs, inside), top.depth + 1))
+        inside = any(open_.get(t) for t in _HOLDERS)
+        skip = stack[-1].skip or out_for_sure(tag, attrs, inside)
+        stack.append(Node(tag, generalised(tag, attrs), stack[-1], skip, unwanted(tag, attrs)))
+        open_[tag] = open_.get(tag, 0) + 1
     return events
 
 
-def containers(events) -> dict[str, float]:
-    """Score by path: letters of the paragraphs a container holds directly count whole, half one level up, and so on;
-    letters of links count against it. Article and main elements weigh more."""
-    scores: dict[str, float] = {}
-    for text, chain, _ in events:
+def containers(events) -> dict[tuple[int, int], float]:
+    """Score by (level, path): letters of the paragraphs a container holds directly count whole, half one level up, and so
+    on; letters of links count against it. Article and main elements weigh more."""
+    scores: dict[tuple[int, int], float] = {}
+    for text, node, _ in events:
         size = len(text.strip())
         if not size:
             continue
-        if any(x.tag == "a" for x in chain):
-            size = -size
-        part = 1.0
-        outer = [x for x in chain[1:] if x.tag in BLOCK and x.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "blockquote", "pre", "table", "tbody", "tr", "td", "th", "dl", "dt", "dd", "figure", "figcaption", "header")]
-        for node in reversed(outer):
-            scores[node.path] = scores.get(node.path, 0.0) + size * part * (3 if node.tag in _HOLDERS else 1)
+        part, box = -1.0 if node.link else 1.0, node.box
+        for _ in range(REACH):
+            if box is None or box.level != node.level:
+                break
+            key = box.level, box.path
+            scores[key] = scores.get(key, 0.0) + size * part * (3 if box.tag in _HOLDERS else 1)
             part *= 0.5
+            box = box.up.box
     return scores
 
 
-def best_of(scores: dict[str, float]) -> str | None:
-    return min(scores, key=lambda p: (-scores[p], p)) if scores else None
-
-
-def main_text(events, path: str | None) -> str:
-    """The blocks below a path in page order, white space squeezed, one line each."""
+def best_of(scores: dict[tuple[int, int], float]) -> tuple[int, int] | None:
+    """The outermost level whose best container holds enough, and that container; the smallest path among equals."""
+    if not scores:
+        return None
+    best: dict[int, tuple[float, int]] = {}
+    for (level, path), score in scores.items():
+        best[level] = min(best.get(level, (-score, path)), (-score, path))
+    top = max(-s for s, _ in best.values())
+    level = min(k for k, (s, _) in best.items() if -s >= ENOUGH * top)
+    return level, best[level][1]
+
+
+def below(events, path: int) -> None:
+    """Sets inside on the elements with that path and all below them."""
+    known: set[int] = set()
+    for _, node, _ in events:
+        chain = []
+        while node is not None and id(node) not in known:
+            chain.append(node)
+            node = node.up
+        inside = bool(node and node.inside)
+        for x in reversed(chain):
+            inside = inside or x.path == path
+            x.inside = inside
+            known.add(id(x))
+
+
+def main_text(events, winner: tuple[int, int] | None, head: int | None = None) -> str:
+    """The blocks below a container in page order, white space squeezed, one line each, without what is unwanted inside it.
+    If it has no first heading, that of the path `head` before it comes first."""
+    if winner is not None:
+        level, path = winner
+        below(events, path)
+        own = [e for e in events if e[1].inside and e[1].level == level]
+        if head is not None and own and not any(e[1].h1 for e in own):
+            first = own[0][2]
+            own = [e for e in events if e[1].h1 and e[2] <= first and _heading(e[1]) == head and not e[1].inside] + own
+    else:
+        own = events
     lines, now, last = [], [], None
-    for text, chain, block in events:
-        if path is not None and all(x.path != path for x in chain):
-            continue
+    for text, _, block in own:
         if block != last and now:
             lines.append(" ".join("".join(now).split()))
             now = []
@@ -156,27 +221,62 @@ def main_text(events, path: str | None) -> str:
     return "\n".join(x for x in lines if x)
 
 
+def _heading(node: Node) -> int:
+    """The path of the h1 around an element."""
+    while node.tag != "h1":
+        node = node.up
+    return node.path
+
+
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def headings(events) -> dict[int, str]:
+    """By path the text of wanted first headings."""
+    out: dict[int, str] = {}
+    for text, node, _ in events:
+        if node.h1 and not node.level and not node.link:
+            path = _heading(node)
+            out[path] = out.get(path, "") + text
+    return out
+
+
+_VOTES = "host string, level int, path long, score long, pages long, words long"
+
+
 def _votes(batches):
+    """Scores of containers (words null), and first headings (level -1) with a hash of their words, which is the same on
+    all pages where they name the site."""
+    names, kinds = ["host", "level", "path", "score", "pages", "words"], [pa.string(), pa.int32(), *[pa.int64()] * 4]
     for batch in batches:
         total: dict[tuple, list] = {}
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            for path, score in containers(parse(page.as_py() or "")).items():
+            events = parse(page.as_py() or "")
+            for (level, path), score in containers(events).items():
                 if score > 0:
-                    entry = total.setdefault((host, path), [0, 0])
+                    entry = total.setdefault((host, level, path, None), [0, 0])
                     entry[0] += int(score)
                     entry[1] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in total], pa.string()), pa.array([p for _, p in total], pa.string()), pa.array([v[0] for v in total.values()], pa.int64()), pa.array([v[1] for v in total.values()], pa.int64())], ["host", "path", "score", "pages"])
+            for path, words in headings(events).items():
+                if words.strip():
+                    total.setdefault((host, -1, path, signed(xxhash.xxh64_intdigest(" ".join(words.split())))), [0, 0])[1] += 1
+        rows = [(h, level, signed(path), *v, words) for (h, level, path, words), v in total.items()]
+        columns = list(zip(*rows, strict=True)) or [()] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
 def _extract(batches):
-    for batch in batches:
+    for batch in slices(batches, 256):
         texts, used = [], []
-        for page, winner in zip(batch.column(2), batch.column(3).to_pylist(), strict=True):
+        for page, level, path, head in zip(batch.column(2), *(batch.column(k).to_pylist() for k in (3, 4, 5)), strict=True):
             events = parse(page.as_py() or "")
-            paths = {x.path for _, chain, _ in events for x in chain}
-            path = winner if winner in paths else best_of(containers(events))
-            texts.append(main_text(events, path))
-            used.append(path)
+            scores = containers(events)
+            winner = None if level is None else (level, path % (1 << 64))
+            if winner not in scores:
+                winner = best_of(scores)
+            texts.append(main_text(events, winner, None if head is None else head % (1 << 64)))
+            used.append(None if winner is None else f"{winner[1]:016x}")
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(used, pa.string())], ["page_id", "url", "text", "path"])
 
 
@@ -184,32 +284,39 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)", 1)), F.lit(""))
 
 
-#: Winning paths are broadcast up to so many hosts; beyond, they are joined in slices of each host's pages.
-BROADCAST_HOSTS, SLICES = 100_000, 32
+#: Winning paths are broadcast up to so many bytes; beyond, they are joined in slices of each host's pages.
+BROADCAST_BYTES, SLICES = 16 << 20, 32
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): of each host the path with the largest sum of scores, the first in order among equals."""
-    votes = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(_votes, "host string, path string, score long, pages long")
-    summed = votes.groupBy("host", "path").agg(F.sum("score").alias("score"), F.sum("pages").alias("pages"))
-    return summed.groupBy("host").agg(F.max_by("path", F.struct("score", F.xxhash64("path"))).alias("path"))
+    """(host, level, path, head): of each host the outermost level whose best container has enough of the score of all
+    levels' best, the path with that level's largest sum of scores (the smallest among equals), and the path of the first
+    heading on most pages that isn't the same on all of them."""
+    votes = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(_votes, _VOTES)
+    summed = votes.groupBy("host", "level", "path").agg(F.sum("score").alias("score"), F.sum("pages").alias("pages"), F.min("words").alias("w0"), F.max("words").alias("w1"))
+    levels = summed.where("level >= 0").groupBy("host", "level").agg(F.min_by("path", F.struct(-F.col("score"), "path")).alias("path"), F.max("score").alias("score"))
+    enough = levels.withColumn("top", F.max("score").over(Window.partitionBy("host"))).where(F.col("score") >= ENOUGH * F.col("top"))  # a row per level
+    bodies = enough.groupBy("host").agg(F.min("level").alias("level"), F.min_by("path", "level").alias("path"))
+    heads = summed.where("level = -1 and (w0 <> w1 or pages = 1)").groupBy("host").agg(F.min_by("path", F.struct(-F.col("pages"), "path")).alias("head"))
+    return bodies.join(heads, "host", "left")
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text and path (the container read; null on a page without text).
+    """page_id, url, text and path (a hash of the path of the container read; null on a page without text).
 
     A null or empty page gives an empty text; a page without a host votes with others of that kind; repeated rows give
-    equal rows; null ids stay; a page of any length is read whole; an empty table gives no rows; other columns are not
-    read. Pages are never shuffled when hosts are few enough to broadcast.
+    equal rows; null ids stay; a page of any length and depth is read whole; an empty table gives no rows; other columns
+    are not read; ties are settled by the smaller path. Pages are never shuffled when the winners are few enough to
+    broadcast.
     """
     winners = cut(winning_paths(pages))
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    if winners.count() <= BROADCAST_HOSTS:
+    if (winners.agg(F.sum(F.length("host") + 64)).first()[0] or 0) <= BROADCAST_BYTES:
         joined = rows.join(F.broadcast(winners), "host", "left")
     else:
-        slices = winners.select("*", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("slice"))
-        joined = rows.withColumn("slice", F.pmod(F.xxhash64("page_id", "url"), F.lit(SLICES)).cast("int")).join(slices, ["host", "slice"], "left")
-    return joined.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", "path").mapInArrow(_extract, "page_id long, url string, text string, path string")
+        sliced = winners.select("*", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("slice"))
+        joined = rows.withColumn("slice", F.pmod(F.xxhash64("page_id", "url"), F.lit(SLICES)).cast("int")).join(sliced, ["host", "slice"], "left")
+    return joined.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", "level", "path", "head").mapInArrow(_extract, "page_id long, url string, text string, path string")
 
 
 def op7_html_text(spark, sf_dir: str) -> DataFrame:
