@@ -109,14 +109,14 @@ def _unit_hashes() -> np.ndarray:
 
 #: Variants of a window: template without names, with names, with possible names at the opening of sentences, bare words.
 OPENED, EXACT = 2, 3
-_BENCH = "hash long, item_id long, at int, size int, slots array<long>, windows int, exact_windows int, whole boolean, opened boolean, template boolean, exact boolean"
-_HIT = "doc_id long, hash long, word int, doc_slots array<long>"
+_BENCH = "hash long, item_id long, item long, at int, size int, slots array<long>, windows int, exact_windows int, whole boolean, opened boolean, template boolean, exact boolean"
+_HIT = "doc_id long, content long, hash long, word int, doc_slots array<long>"
 
 
 def _bench(batches, window: int, literal: int):
     for batch in batches:
         rows = []
-        for item, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for item, text, own in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
             data, offsets = utf8(pa.array([text.as_py() or ""], pa.large_string()))
             t = Template(data, offsets)
             size = min(window, len(t.words))
@@ -133,17 +133,17 @@ def _bench(batches, window: int, literal: int):
             several, places = len({at for at, _ in templates}), len({at for at, _ in found})
             for (at, h), (slots, _, variant, exact) in found.items():
                 if exact or (at, h) in templates:
-                    rows.append((int(np.uint64(h).view(np.int64)), item, at, size, slots, several, places, whole, variant == OPENED, (at, h) in templates, exact))
-        columns = list(zip(*rows, strict=True)) or [()] * 11
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.int32(), *[pa.bool_()] * 4]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["hash", "item_id", "at", "size", "slots", "windows", "exact_windows", "whole", "opened", "template", "exact"])
+                    rows.append((int(np.uint64(h).view(np.int64)), item, own, at, size, slots, several, places, whole, variant == OPENED, (at, h) in templates, exact))
+        columns = list(zip(*rows, strict=True)) or [()] * 12
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.int32(), *[pa.bool_()] * 4]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["hash", "item_id", "item", "at", "size", "slots", "windows", "exact_windows", "whole", "opened", "template", "exact"])
 
 
 def bench_windows(benchmark: DataFrame, window: int = WINDOW, literal: int = LITERAL) -> DataFrame:
-    """hash, item_id, at, size, slots, windows (how many places of the item have a template), exact_windows (bare words)
+    """hash, item_id, item (its id and text), at, size, slots, windows (how many places of the item have a template), exact_windows (bare words)
     and whether the templates stand for the item only all together, count as names what opens a sentence, and are a
     template and bare words. An item shorter than a window is one window; a null or empty item has none."""
-    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(lambda it: _bench(it, window, literal), _BENCH)
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text", F.xxhash64("item_id", "text")).mapInArrow(lambda it: _bench(it, window, literal), _BENCH)
 
 
 def _lookup(batches, shared):
@@ -152,7 +152,7 @@ def _lookup(batches, shared):
     filter_[known >> np.uint64(44)] = True
     for batch in batches:
         data, offsets = utf8(batch.column(1))
-        ids, rows = batch.column(0).to_pylist(), []
+        ids, contents, rows = batch.column(0).to_pylist(), batch.column(2).to_pylist(), []
         for a, b in blocks(offsets, 1 << 20):
             part = offsets[a : b + 1]
             t = Template(data[part[0] : part[-1]], part - part[0])
@@ -167,13 +167,13 @@ def _lookup(batches, shared):
                         if key not in seen:
                             seen.add(key)
                             row = int(t.row[key[0]])
-                            rows.append((ids[a + row], int(hashes[k : k + 1].view(np.int64)[0]), key[0] - int(first[row]), t.slots(key[0], size, variant)))
-        columns = list(zip(*rows, strict=True)) or [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())], strict=True)], ["doc_id", "hash", "word", "doc_slots"])
+                            rows.append((ids[a + row], contents[a + row], int(hashes[k : k + 1].view(np.int64)[0]), key[0] - int(first[row]), t.slots(key[0], size, variant)))
+        columns = list(zip(*rows, strict=True)) or [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())], strict=True)], ["doc_id", "content", "hash", "word", "doc_slots"])
 
 
 def window_hits(docs: DataFrame, bench: DataFrame, held: int = HELD) -> DataFrame:
-    """doc_id, hash, word and doc_slots for each window of docs that the benchmark has. bench: a written table."""
+    """doc_id, content (a hash of the text), hash, word and doc_slots for each window of docs that the benchmark has. bench: a written table."""
     spark = docs.sparkSession
     sizes = sorted(r[0] for r in bench.select("size").distinct().collect())  # WINDOW values at most
     passes = max(1, -(-bench.count() // held))
@@ -182,33 +182,34 @@ def window_hits(docs: DataFrame, bench: DataFrame, held: int = HELD) -> DataFram
         part = bench.where(F.pmod("hash", F.lit(passes)) == k).select("hash").distinct()
         known = np.array([r[0] for r in part.toLocalIterator()], np.int64).view(np.uint64)
         shared = spark.sparkContext.broadcast((sizes, np.sort(known)))  # about `held` hashes at most
-        found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda it, s=shared: _lookup(it, s), _HIT)
+        found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text")).mapInArrow(lambda it, s=shared: _lookup(it, s), _HIT)
         out = found if out is None else out.union(found)
     return out
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal: int = LITERAL, least: int = LEAST, held: int = HELD) -> DataFrame:
-    """A row per (doc_id, item_id) that leaks: n_windows found, item_windows, n_slots, slots_consistent, first_word and
+    """A row per document and item that leaks: doc_id, content (a hash of its text), item_id, n_windows found, item_windows, n_slots, slots_consistent, first_word and
     last_word, all of the occurrence that shows it best.
 
     An occurrence is what stands at one shift of the item's words, at neighbouring shifts, or in the whole document; each
     is judged with and without the templates that take a sentence's opening word for a name, and one that passes is
     enough. Null or empty texts on either side have no windows; words cut at their ends still count by their windows;
-    repeated rows of a doc_id count once; null ids make rows of their own; empty tables give no rows; other columns are
+    documents are told apart by id and text, items too, so rows that repeat both count once and null ids are no group; empty tables give no rows; other columns are
     not read.
     """
     bench = cut(bench_windows(benchmark, window, literal))
     hits = window_hits(docs, bench, held).distinct()
     pairs = hits.join(F.broadcast(bench) if bench.count() <= held // 8 else bench, "hash")
     values = F.filter(F.arrays_zip(F.col("slots").alias("item"), F.col("doc_slots").alias("doc")), lambda x: x.item != 0)
-    columns = ["doc_id", "item_id", "at", "word", "size", "windows", "exact_windows", "whole", "opened", "template", "exact"]
+    keys = ["doc_id", "content", "item_id", "item"]
+    columns = [*keys, "at", "word", "size", "windows", "exact_windows", "whole", "opened", "template", "exact"]
     pairs = pairs.select(*columns, (F.col("word") - F.col("at")).alias("shift"), F.transform(values, lambda x: F.struct(x.item.alias("item"), x.doc.alias("doc"))).alias("values"))
-    by = Window.partitionBy("doc_id", "item_id").orderBy("shift")
+    by = Window.partitionBy(*keys).orderBy("shift")
     pairs = pairs.withColumn("far", F.coalesce(F.col("shift") - F.lag("shift").over(by) > SHIFT, F.lit(False)).cast("int")).withColumn("near", F.sum("far").over(by))
     scopes = [F.struct(F.lit(k).alias("scope"), c.cast("long").alias("place"), F.lit(o).alias("with_opened")) for k, c in enumerate((F.col("shift"), F.col("near"), F.lit(0))) for o in (False, True)]
     spread = pairs.withColumn("o", F.explode(F.array(*scopes))).where(F.col("o.with_opened") | ~F.col("opened"))
     found = lambda condition: F.count_distinct(F.when(condition, F.col("at")))
-    occurrences = spread.groupBy("doc_id", "item_id", "o").agg(
+    occurrences = spread.groupBy(*keys, "o").agg(
         found(F.col("template")).alias("n_template"), found(F.col("exact")).alias("n_exact"),
         found(F.col("template") & (F.size("values") == 0)).alias("fixed"), F.count_distinct("at").alias("n_windows"),
         F.max("windows").alias("templates"), F.max("exact_windows").alias("exacts"), F.max("whole").alias("whole"),
@@ -221,15 +222,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal:
     templated = (F.col("templates") > 0) & (F.when(F.col("slots_consistent"), F.col("n_template")).otherwise(F.col("fixed")) >= need)
     enough = templated | (F.col("n_exact") >= F.least(F.lit(least), F.col("exacts")))
     fields = [F.col(c) if c != "item_windows" else F.greatest("templates", "exacts").alias(c) for c in ("slots_consistent", "n_windows", "item_windows", "n_slots", "first_word", "last_word")]
-    best = judged.where(enough).groupBy("doc_id", "item_id").agg(F.max(F.struct(*fields)).alias("b"))
-    return best.select("doc_id", "item_id", "b.n_windows", "b.item_windows", "b.n_slots", "b.slots_consistent", "b.first_word", "b.last_word")
+    best = judged.where(enough).groupBy(*keys).agg(F.max(F.struct(*fields)).alias("b"))
+    return best.select("doc_id", "content", "item_id", "b.n_windows", "b.item_windows", "b.n_slots", "b.slots_consistent", "b.first_word", "b.last_word")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without those that leak an item."""
-    found = leaks(docs, benchmark).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__leak")), "left_anti")
+    """docs without those that leak an item. Nulls, ties, long texts and repeats as in leaks; a leak drops the rows of its
+    id and text alone, so that a clean row with a null id, or with another's id, stays; an empty table gives no rows; all
+    columns pass through."""
+    found = leaks(docs, benchmark).select(F.col("doc_id").alias("__leak"), F.col("content").alias("__content")).distinct()
+    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__leak")) & (F.xxhash64("text") == F.col("__content")), "left_anti")
 
 
 def op3_decontamination(spark, sf_dir: str) -> DataFrame:
-    return leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("content")
