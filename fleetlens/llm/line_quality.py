@@ -1,17 +1,17 @@
 """Quality rules from cross-document line frequency, with DataFrame functions only.
 
 Base rules count words, symbols, repeated lines and repeated word windows of each text. The method then hashes every
-normalised line, counts for each host (the column source) the distinct documents holding it, takes lines above a limit
-for boilerplate, and rejects documents of which too little is left without those lines. Exact copies of a text count as
-one document, so that a popular article is not mistaken for a template.
+normalised line, counts for each host (the column source) the distinct documents holding it, takes lines above limits
+for boilerplate, and rejects documents of which too little is left without those lines. Limits are a number of documents
+and a share of the host's, so that a large host's common headings are no boilerplate.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACES = "[ \\t-\\r]+"
-#: A line is boilerplate if more distinct texts than this hold it on one host.
-LINE_LIMIT = 20
+#: A line is boilerplate if more documents of one host than this hold it, and more than this share of the host's documents.
+LINE_LIMIT, LINE_SHARE = 20, 0.01
 #: A document is depleted if boilerplate lines hold more than this share of its letters.
 DEPLETED = 0.7
 #: Boilerplate lines are joined to rows in so many slices, so that one very common line is spread over tasks.
@@ -67,34 +67,51 @@ def lines_of(docs: DataFrame, host: str = "source") -> DataFrame:
     return rows.select("doc_id", "content", "host", one.alias("_n")).where("_n <> ''").select("doc_id", "content", "host", F.xxhash64("_n").alias("line"), F.length("_n").cast("long").alias("chars"))
 
 
-def boilerplate(lines: DataFrame, limit: int) -> DataFrame:
-    """(host, line, texts) above the limit. Distinct texts are counted in two steps, so a common line is not one task's work."""
-    once = lines.select("host", "line", "content").distinct()
-    return once.groupBy("host", "line").agg(F.count("*").alias("texts")).where(F.col("texts") > limit)
+def boilerplate(docs: DataFrame, lines: DataFrame, limit: int, share: float) -> DataFrame:
+    """(host, line, documents) above the limits; a document with a null id counts for none. Documents are counted in two
+    steps, so a common line is not one task's work. Hosts' sizes are joined to what is above the first limit only."""
+    once = lines.where("doc_id is not null").select("host", "line", "doc_id").distinct()
+    often = once.groupBy("host", "line").agg(F.count("*").alias("documents")).where(F.col("documents") > limit)
+    hosts = docs.where("doc_id is not null").select(F.coalesce("host", F.lit("")).alias("host"), "doc_id").distinct().groupBy("host").agg(F.count("*").alias("all"))
+    return often.join(hosts, "host").where(F.col("documents") > share * F.col("all")).drop("all")
 
 
-def line_quality(docs: DataFrame, host: str = "source", limit: int = LINE_LIMIT, depleted: float = DEPLETED, slices: int = SLICES) -> DataFrame:
+def slice_of(slices: int) -> Column:
+    """Of a row by its id and text: copies of one text lie in different slices."""
+    return F.pmod(F.xxhash64("doc_id", "content"), F.lit(slices)).cast("int")
+
+
+def in_slices(common: DataFrame, slices: int) -> DataFrame:
+    """common (host, line) once for each slice."""
+    return common.select("host", "line", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
+
+
+def line_quality(docs: DataFrame, host: str = "source", limit: int = LINE_LIMIT, share: float = LINE_SHARE, depleted: float = DEPLETED, slices: int = SLICES) -> DataFrame:
     """docs' doc_id and the base counts, line_chars, removed_chars, removed_share and kept.
 
-    Nulls: a text counts as empty (base_failed, not kept), a host as one nameless host, a doc_id is kept as it is.
-    Repeated rows: the share is that of one of them, and each gets it. Rows of one doc_id with different texts are told
-    apart by their content. Columns of other names, clashing ones included, are ignored.
+    Nulls: a text counts as empty (base_failed, not kept), a host as one nameless host, a row with a null doc_id keeps a row
+    but counts for no document. Texts are read whole, at any length; an empty table gives no rows. A line exactly at a
+    limit is no boilerplate, a document exactly at the depleted share is kept. Repeated rows: the share is that of one of
+    them, and each gets it. Rows of one doc_id with different texts are told apart by their content. Columns of other
+    names, clashing ones included, are ignored.
     """
     docs = docs.select("doc_id", "text", F.col(host).alias("host"))
     lines = lines_of(docs, "host")
-    common = boilerplate(lines, limit).select("host", "line", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
-    marked = lines.withColumn("slice", F.pmod("content", F.lit(slices)).cast("int")).join(common.withColumn("hit", F.lit(True)), ["host", "line", "slice"], "left")
-    share = marked.groupBy("doc_id", "content").agg(F.sum("chars").alias("line_chars"), F.sum(F.when(F.col("hit"), F.col("chars")).otherwise(0)).alias("removed_chars"))
-    share = share.select(F.col("doc_id").alias("_d"), F.col("content").alias("_c"), "line_chars", "removed_chars", (F.col("removed_chars") / F.col("line_chars")).alias("removed_share"))
+    common = in_slices(boilerplate(docs, lines, limit, share), slices)
+    marked = lines.withColumn("slice", slice_of(slices)).join(common.withColumn("hit", F.lit(True)), ["host", "line", "slice"], "left")
+    parts = marked.groupBy("doc_id", "content").agg(F.sum("chars").alias("line_chars"), F.sum(F.when(F.col("hit"), F.col("chars")).otherwise(0)).alias("removed_chars"))
+    parts = parts.select(F.col("doc_id").alias("_d"), F.col("content").alias("_c"), "line_chars", "removed_chars", (F.col("removed_chars") / F.col("line_chars")).alias("removed_share"))
     base = base_features(docs).withColumn("_content", F.xxhash64("text")).drop("text", "host")
-    out = base.join(share, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_content") == F.col("_c")), "left").drop("_content", "_d", "_c")
+    out = base.join(parts, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_content") == F.col("_c")), "left").drop("_content", "_d", "_c")
     return out.fillna(0, ["line_chars", "removed_chars"]).fillna(0.0, ["removed_share"]).withColumn("kept", ~F.col("base_failed") & (F.col("removed_share") <= depleted))
 
 
-def strip_lines(docs: DataFrame, host: str = "source", limit: int = LINE_LIMIT) -> DataFrame:
-    """docs with the boilerplate lines taken out of text; each document's own boilerplate hashes come back as one array."""
+def strip_lines(docs: DataFrame, host: str = "source", limit: int = LINE_LIMIT, share: float = LINE_SHARE, slices: int = SLICES) -> DataFrame:
+    """docs with the boilerplate lines taken out of text; each document's own boilerplate hashes come back as one array.
+    Nulls, ties, repeats, long texts and empty tables as in line_quality; all columns pass through."""
     lines = lines_of(docs, host)
-    hits = lines.join(boilerplate(lines, limit), ["host", "line"], "left_semi").groupBy(F.col("doc_id").alias("__d"), F.col("content").alias("__c")).agg(F.collect_set("line").alias("__gone"))
+    common = in_slices(boilerplate(docs.select("doc_id", F.col(host).alias("host")), lines, limit, share), slices)
+    hits = lines.withColumn("slice", slice_of(slices)).join(common, ["host", "line", "slice"], "left_semi").groupBy(F.col("doc_id").alias("__d"), F.col("content").alias("__c")).agg(F.collect_set("line").alias("__gone"))
     hashed = lambda x: F.xxhash64(F.trim(F.regexp_replace(F.lower(x), SPACES, " ")))
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(F.col("__gone"), hashed(x))), "\n")
     joined = docs.withColumn("__content", F.xxhash64("text")).join(hits, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__content") == F.col("__c")), "left")
@@ -106,7 +123,7 @@ def op2_line_quality(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "line_chars", "removed_chars")
 
 
-OP2_SQL = f"""
+OP2_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, text, coalesce(source, '') AS host FROM documents),
 w AS (SELECT *, list_filter(regexp_split_to_array(t, '[ \\t-\\r]+'), lambda x: x <> '') AS ws,
              list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS ls FROM d),
@@ -120,12 +137,13 @@ base AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws,
                 (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
          FROM w LEFT JOIN rep USING (doc_id)),
 ln AS (SELECT doc_id, host, text, trim(regexp_replace(lower(x), '[ \\t-\\r]+', ' ', 'g'), ' ') AS n FROM (SELECT doc_id, host, text, unnest(string_split(t, chr(10))) AS x FROM d)),
-bp AS (SELECT host, n FROM ln WHERE n <> '' GROUP BY host, n HAVING count(DISTINCT text) > {LINE_LIMIT}),
+hs AS (SELECT host, count(DISTINCT doc_id) AS n_docs FROM d GROUP BY host),
+bp AS (SELECT ln.host, n FROM ln JOIN hs ON ln.host = hs.host WHERE n <> '' GROUP BY ln.host, n, n_docs HAVING count(DISTINCT doc_id) > 20 AND count(DISTINCT doc_id) > 0.01 * n_docs),
 sh AS (SELECT doc_id, sum(length(ln.n))::BIGINT AS line_chars, sum(CASE WHEN bp.n IS NULL THEN 0 ELSE length(ln.n) END)::BIGINT AS removed_chars
        FROM ln LEFT JOIN bp ON ln.host = bp.host AND ln.n = bp.n WHERE ln.n <> '' GROUP BY doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
-       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND coalesce(removed_chars / line_chars, 0) <= {DEPLETED} AS kept,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND coalesce(removed_chars / line_chars, 0) <= 0.7 AS kept,
        coalesce(line_chars, 0) AS line_chars, coalesce(removed_chars, 0) AS removed_chars
 FROM base LEFT JOIN sh USING (doc_id)
 """
