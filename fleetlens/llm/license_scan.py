@@ -138,20 +138,21 @@ def can_hold(k: int, window: bytes) -> bool:
 
 def scan(line: bytes) -> tuple[list[tuple[str, int]], list[tuple[str, int, int, int]]]:
     """Base places (label, first word) and fuzzy ones (label, first word, last word, edits)."""
-    base, fuzzy = [], []
+    base, fuzzy, spaces = [], [], np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+    words_before = lambda at: int(np.searchsorted(spaces, at))
     for phrase, label in PHRASES.items():
         needle = f" {phrase} ".encode()
         at = line.find(needle)
         while at >= 0:
-            base.append((label, line.count(b" ", 0, at)))
+            base.append((label, words_before(at)))
             at = line.find(needle, at + 1)
     for k, a, b in windows(line):
         label, _, _, _, pattern = patterns()[k]
         for m in pattern.finditer(line, a, b):
             if names()[k] and not names()[k].search(line, m.start(), m.end()):
                 continue  # the edits went into another licence's name
-            first = line.count(b" ", 0, m.start() + 1) - 1 + (line[m.start() : m.start() + 1] == b" ")
-            last = line.count(b" ", 0, m.end()) - 1 - (line[m.end() - 1 : m.end()] == b" ")
+            first = words_before(m.start() + 1) - 1 + (line[m.start() : m.start() + 1] == b" ")
+            last = words_before(m.end()) - 1 - (line[m.end() - 1 : m.end()] == b" ")
             fuzzy.append((label, max(0, first), max(0, last), sum(m.fuzzy_counts)))
     return base, fuzzy
 
