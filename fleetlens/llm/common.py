@@ -111,15 +111,16 @@ class Rolling:
 # ---------------------------------------------------------------- connected components
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (a, b), root being the smallest node of its component.
 
-    Alternates large-star and small-star steps on the edge table; each round is written to the shared folder, and
+    Alternates large-star and small-star steps on the edge table until it stays as it is; each round is written to the shared folder, and
     what reaches the driver is one count. Hub nodes are met by partial aggregation and by AQE's skew join.
     """
     spark = edges.sparkSession
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    for _ in range(most_rounds):
+    stable = False
+    while not stable:
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -129,8 +130,6 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         stable = new.select(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() == now.select(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         drop_cut(spark, now)
         now = new
-        if stable:
-            break
     return now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root").union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 

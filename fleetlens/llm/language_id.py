@@ -1,6 +1,6 @@
 """Language identification with a bit-sliced Bloom filter of n-grams.
 
-The filter is one array of words; bit l of every word belongs to language l. An n-gram's three positions are read and
+The filter is an array of words for every 64 languages; a bit of each word belongs to one of them. An n-gram's three positions are read and
 ANDed, which gives all languages that contain it at once. A document's score for a language is the share of its n-grams
 with that bit, corrected for the language's own false-positive rate, and the best score decides. N-grams are of three and
 four bytes of the lower-cased text in which every run of non-letters is one space.
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from fleetlens.llm.common import blocks, slices, test_remainder, utf8
 
 HASHES = 3
-#: Words of the filter (a power of two); with 64 languages at most it has 8 bytes each.
+#: Words of the filter (a power of two) for every 64 languages, of 8 bytes at most.
 SLOTS = 1 << 20
 #: The filter is fitted on about so many labelled rows of each language, drawn by a hash of the id.
 FIT_ROWS = 1500
@@ -31,8 +31,10 @@ _NOT_LETTER = re.compile(r"[\W\d_]+")
 
 
 def letters(text: str) -> str:
-    """Lower case, a space for every run that has no letter, and a space at each end."""
-    return f" {_NOT_LETTER.sub(' ', text.lower()).strip()} "
+    """Lower case, a space for every run of signs, and a space at each end; two spaces if there is no letter (of any
+    script; a numeral like \u00bd is none)."""
+    out = _NOT_LETTER.sub(" ", text.lower()).strip()
+    return f" {out} " if any(map(str.isalpha, out)) else "  "
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,35 +64,34 @@ def positions(packed: np.ndarray, slots: int):
 @dataclass
 class Filter:
     languages: list[str]
-    words: np.ndarray
+    words: list[np.ndarray]
     false_rate: np.ndarray
 
-    def masks(self, packed: np.ndarray) -> np.ndarray:
-        found = None
-        for at in positions(packed, len(self.words)):
-            found = self.words[at] if found is None else found & self.words[at]
-        return found
+    def masks(self, packed: np.ndarray, plane: int = 0) -> np.ndarray:
+        """Of each n-gram the languages of a plane that contain it, as bits."""
+        words = self.words[plane]
+        return functools.reduce(np.bitwise_and, (words[at] for at in positions(packed, len(words))))
 
     def shares(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Rows x languages: the corrected share of a row's n-grams that the language contains."""
         packed, row = grams(data, offsets)
         n = len(offsets) - 1
-        masks = self.masks(packed) if len(packed) else np.zeros(0, self.words.dtype)
         all_of = np.maximum(np.bincount(row, minlength=n), 1)
         out = np.empty((n, len(self.languages)))
+        masks = None
         for k, rate in enumerate(self.false_rate):
-            hits = np.bincount(row, weights=(masks >> k & 1).astype(np.float32), minlength=n)
+            if k % 64 == 0:
+                masks = self.masks(packed, k // 64)
+            hits = np.bincount(row, weights=(masks >> masks.dtype.type(k % 64) & masks.dtype.type(1)).astype(np.float32), minlength=n)
             out[:, k] = np.clip((hits / all_of - rate) / max(1 - rate, 1e-9), 0, 1)
         return out
 
 
 def build(rows: list[tuple[str, str]], slots: int = SLOTS) -> Filter:
-    """rows: (language, text). 64 languages at most."""
+    """rows: (language, text)."""
     languages = sorted({x for x, _ in rows})
-    if len(languages) > 64:
-        raise ValueError("the filter's words have 64 bits")
-    kind = next(t for t, b in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if len(languages) <= b)
-    words = np.zeros(slots, kind)
+    kind = next(t for t, b in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 1 << 60)) if len(languages) <= b)
+    words = [np.zeros(slots, kind) for _ in range(0, len(languages), 64)]
     rate = np.zeros(len(languages))
     for k, name in enumerate(languages):
         seen: list[np.ndarray] = []
@@ -100,22 +101,22 @@ def build(rows: list[tuple[str, str]], slots: int = SLOTS) -> Filter:
             seen.append(np.unique(grams(raw, np.array([0, len(raw)]))[0]))
         known, counts = np.unique(np.concatenate(seen), return_counts=True)
         known = known[counts >= min(len(texts), max(LEAST_ROWS, LEAST_SHARE * len(texts)))]
+        plane, bit = words[k // 64], kind(1 << k % 64)
         for at in positions(known, slots):
-            words[at] |= kind(1 << k)
-        rate[k] = np.mean(words >> k & 1) ** HASHES
+            plane[at] |= bit
+        rate[k] = np.mean(plane & bit != 0) ** HASHES
     return Filter(languages, words, rate)
 
 
 def fit(labelled: DataFrame, rows_each: int = FIT_ROWS) -> Filter:
     """A filter from (doc_id, text, lang), learned from about rows_each rows of each language, drawn by a hash of the id.
-    What reaches the driver is bounded by that and by 64 languages."""
-    usable = labelled.where("text is not null and lang is not null")
-    counts = usable.groupBy("lang").count().orderBy("lang").limit(65).collect()
+    Rows of one text count once. What reaches the driver is bounded by that and by the number of languages."""
+    usable = labelled.where("text is not null and lang is not null").withColumn("h", F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(1 << 30)))
+    counts = usable.groupBy("lang").count().collect()
     if not counts:
         return build([])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30))
-    wanted = functools.reduce(lambda a, r: a | (F.col("lang") == r[0]) & (draw < int((1 << 30) * min(1.0, rows_each / r[1]))), counts, F.lit(False))
-    rows = usable.where(wanted).select("lang", "text", draw.alias("h")).collect()
+    shares = F.create_map(*[F.lit(x) for r in counts for x in (r[0], int((1 << 30) * min(1.0, rows_each / r[1])))])
+    rows = usable.where(F.col("h") < shares[F.col("lang")]).select("lang", "text", "h").distinct().collect()
     return build([(r[0], r[1]) for r in sorted(rows, key=lambda r: (r[0], r[2], r[1]))])
 
 
@@ -143,7 +144,7 @@ def identify(docs: DataFrame, model: Filter, keep: list[str] | None = None, with
     """doc_id, the text if it is wanted, the columns named in keep, lang_pred, score (the best language's part of all corrected shares) and
     known_share (its own corrected share).
 
-    A text that is null or has no letter is `und` with score 0; any length is read whole; repeated rows get the same
+    A text that is null or has no letter (Unicode's L) is `und` with score 0; any length is read whole; repeated rows get the same
     answer; a null doc_id stays; ties go to the language first in order; an empty table gives no rows; a model without
     languages says `und`.
     """
@@ -171,4 +172,4 @@ def keep_known(docs: DataFrame, least: float = UNKNOWN) -> DataFrame:
 def op4_language_id(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = identify(docs, train(docs))
-    return out.select("doc_id", (test_remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "known_share")
+    return out.select("doc_id", F.coalesce(test_remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "known_share")

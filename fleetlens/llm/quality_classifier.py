@@ -208,4 +208,4 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
 def op6_quality_classifier(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = score(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    return out.select("doc_id", (test_remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return out.select("doc_id", F.coalesce(test_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
