@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 SPACES = "[ \\t-\\r]+"
 #: A line is boilerplate if more documents of one host than this hold it, and more than this share of the host's documents.
-LINE_LIMIT, LINE_SHARE = 20, 0.01
+LINE_LIMIT, LINE_SHARE = 5, 0.05
 #: A document is depleted if boilerplate lines hold more than this share of its letters.
 DEPLETED = 0.7
 #: Boilerplate lines are joined to rows in so many slices, so that one very common line is spread over tasks.
@@ -138,7 +138,7 @@ base AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws,
          FROM w LEFT JOIN rep USING (doc_id)),
 ln AS (SELECT doc_id, host, text, trim(regexp_replace(lower(x), '[ \\t-\\r]+', ' ', 'g'), ' ') AS n FROM (SELECT doc_id, host, text, unnest(string_split(t, chr(10))) AS x FROM d)),
 hs AS (SELECT host, count(DISTINCT doc_id) AS n_docs FROM d GROUP BY host),
-bp AS (SELECT ln.host, n FROM ln JOIN hs ON ln.host = hs.host WHERE n <> '' GROUP BY ln.host, n, n_docs HAVING count(DISTINCT doc_id) > 20 AND count(DISTINCT doc_id) > 0.01 * n_docs),
+bp AS (SELECT ln.host, n FROM ln JOIN hs ON ln.host = hs.host WHERE n <> '' GROUP BY ln.host, n, n_docs HAVING count(DISTINCT doc_id) > 5 AND count(DISTINCT doc_id) > 0.05 * n_docs),
 sh AS (SELECT doc_id, sum(length(ln.n))::BIGINT AS line_chars, sum(CASE WHEN bp.n IS NULL THEN 0 ELSE length(ln.n) END)::BIGINT AS removed_chars
        FROM ln LEFT JOIN bp ON ln.host = bp.host AND ln.n = bp.n WHERE ln.n <> '' GROUP BY doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
