@@ -1,11 +1,12 @@
 """A quality classifier: random-indexing word vectors, pooled, and a small calibrated network.
 
 Every token has a sparse ternary index vector given by its hash; a token's own vector is the sum of the index vectors of
-its neighbours over the fitting sample, brought to length one, so tokens used alike lie close. A document is the mean of
+its neighbours over all documents, brought to length one, so tokens used alike lie close. A document is the mean of
 its tokens' vectors, their spread, and the shares of a few kinds of characters. A network of one hidden layer, written in
 numpy, is fitted on labelled rows; a temperature fitted on rows left out of that makes its probabilities honest.
 """
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -67,24 +68,58 @@ def distinct(rows: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def index_vectors(seed: int = 11) -> np.ndarray:
+    """Of each word four numbers of 1 or -1 at different places, elsewhere 0."""
     rng = np.random.default_rng(seed)
     out = np.zeros((BUCKETS, SIZE), np.float32)
-    at = rng.integers(0, SIZE, (BUCKETS, 4))
-    np.add.at(out, (np.arange(BUCKETS)[:, None], at), rng.choice([-1.0, 1.0], (BUCKETS, 4)))
+    at = rng.random((BUCKETS, SIZE)).argsort(1)[:, :4]
+    np.put_along_axis(out, at, rng.choice([-1.0, 1.0], (BUCKETS, 4)).astype(np.float32), 1)
     return out
 
 
-def word_vectors(texts: list[str]) -> np.ndarray:
+#: Rows in which tasks send their sums of word vectors, each of BUCKETS / PARTS words; tasks for every core.
+PARTS, TASKS = 256, 4
+
+
+def _neighbours(batches):
+    """A task's sums, for every word, of the index vectors of its neighbours, in PARTS rows (part, 4-byte floats)."""
     index = index_vectors()
-    out = index.copy()
-    data, offsets = utf8(pa.array(texts, pa.large_string()))
-    for a, b in blocks(offsets, 1 << 20):
-        part = offsets[a : b + 1]
-        ids, rows, _ = tokens(data[part[0] : part[-1]], part - part[0])
-        for d in range(1, REACH + 1):
-            same = rows[d:] == rows[:-d]
-            np.add.at(out, ids[d:][same], index[ids[:-d][same]])
-            np.add.at(out, ids[:-d][same], index[ids[d:][same]])
+    order = np.argsort(index == 0, axis=1, kind="stable")[:, :4]  # where an index vector has its numbers, and those
+    signs = np.take_along_axis(index, order, 1)
+    total, seen = np.zeros(BUCKETS * SIZE), False
+    for batch in batches:
+        data, offsets = utf8(batch.column(0))
+        for a, b in blocks(offsets, 1 << 20):
+            part = offsets[a : b + 1]
+            ids, rows, _ = tokens(data[part[0] : part[-1]], part - part[0])
+            for d in range(1, REACH + 1):
+                same = rows[d:] == rows[:-d]
+                left, right = ids[:-d][same], ids[d:][same]
+                for word, near in ((left, right), (right, left)):
+                    if len(word):
+                        total += np.bincount((word[:, None] * SIZE + order[near]).reshape(-1), signs[near].reshape(-1), BUCKETS * SIZE)
+                        seen = True
+    if seen:
+        yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([x.tobytes() for x in total.astype(np.float32).reshape(PARTS, -1)], pa.binary())], ["part", "sums"])
+
+
+def word_vectors(docs: DataFrame) -> np.ndarray:
+    """Vectors of length one for all words, from all texts. Every task sends one matrix of a fixed size, of which there are
+    TASKS for every core at most; their sums are made part by part, and a matrix of that size reaches the driver."""
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, part = np.zeros(BUCKETS * SIZE // PARTS), None
+        for batch in batches:
+            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                part = k
+                total += np.frombuffer(raw.as_buffer(), np.float32)
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], ["part", "sums"])
+
+    most = TASKS * docs.sparkSession.sparkContext.defaultParallelism
+    sums = docs.where("text is not null").select("text").coalesce(most).mapInArrow(_neighbours, "part int, sums binary")
+    got = sums.groupBy("part").applyInArrow(added, "part int, sums binary").toArrow().sort_by("part")
+    out = index_vectors().astype(np.float64)
+    if got.num_rows:
+        out += np.frombuffer(b"".join(got.column("sums").to_pylist()), np.float32).reshape(BUCKETS, SIZE)
     return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
@@ -135,9 +170,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -60, 60)))
 
 
-def learn(texts: list[str], labels: np.ndarray, hidden: int = 24, epochs: int = 150, seed: int = 3) -> Model:
+def learn(texts: list[str], labels: np.ndarray, vectors: np.ndarray, hidden: int = 24, epochs: int = 150, seed: int = 3) -> Model:
     """Adam over mini-batches; every fifth row is left out for the temperature. Classes weigh the same."""
-    vectors = word_vectors(texts)
     x, y = features(texts, vectors), labels.astype(np.float64)
     rng = np.random.default_rng(seed)
     held = np.arange(len(y)) % 5 == 4
@@ -178,10 +212,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows_each: int = FIT_ROWS) -> Model
     draw = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 30))
     share = F.when(F.col("quality") == 0, F.lit(rows_each / counts[0])).otherwise(F.lit(rows_each / counts[1]))
     drawn = labels.where(F.col("quality").isin(0, 1) & (draw < share * (1 << 30))).select("doc_id", "quality")
-    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "quality", draw.alias("h")).collect()
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "quality", draw.alias("h")).distinct().collect()
     got = sorted(((r[2], r[0] or "", r[1]) for r in rows))
     labels_ = np.array([r[2] for r in got])
-    return learn([r[1] for r in got], labels_) if len(set(labels_.tolist())) == 2 else None
+    return learn([r[1] for r in got], labels_, word_vectors(docs)) if len(set(labels_.tolist())) == 2 else None
 
 
 def _score(batches, shared):
