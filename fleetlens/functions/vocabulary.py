@@ -5,13 +5,13 @@ LIVE_CATEGORIES = ["Storage", "Compute", "Network", "Container", "Databases"]
 
 #: Spellings of each category, in lower case.
 CATEGORY_SPELLINGS = {
-    "Compute": "compute virtual_machines vm_instances virtual_machine_scale_sets web_apps appservice_plan",
-    "Network": "network networking application_gateway load_balancer nat_gateways subnets private_endpoints private_dns_zones public_ip_address routes resolver_inbound_endpoint transit_gateways transit_gateway_attachments",
-    "Storage": "storage storage_accounts file_systems volumes table",
-    "Container": "container containers",
-    "Databases": "database databases ms-sql_db mariadb",
+    "Compute": ["compute", "virtual_machines", "vm_instances", "virtual_machine_scale_sets", "web_apps", "appservice_plan"],
+    "Network": ["network", "networking", "application_gateway", "load_balancer", "nat_gateways", "subnets", "private_endpoints", "private_dns_zones", "public_ip_address", "routes", "resolver_inbound_endpoint", "transit_gateways", "transit_gateway_attachments"],
+    "Storage": ["storage", "storage_accounts", "file_systems", "volumes", "table"],
+    "Container": ["container", "containers"],
+    "Databases": ["database", "databases", "ms-sql_db", "mariadb"],
 }
-CATEGORY_ALIASES = {alias: name for name, many in CATEGORY_SPELLINGS.items() for alias in many.split()}
+CATEGORY_ALIASES = {alias: name for name, many in CATEGORY_SPELLINGS.items() for alias in many}
 
 #: Spellings of each provider, in lower case.
 PROVIDER_SPELLINGS = {

@@ -63,13 +63,14 @@ def alert_gate(predictions: DataFrame) -> DataFrame:
 
 def suppress(predictions: DataFrame, windows: DataFrame) -> DataFrame:
     """J-6, D-7: predictions in a maintenance window (resource or *, category or *, time) become INFO without a trigger;
-    of several windows the first in order is named. Windows for one resource are found by an equi-join, wildcard ones (a
-    short list that operators write by hand) by a broadcast."""
+    of several windows the first in order is named. Windows for one resource are found by an equi-join on it, wildcard ones
+    by one on the days they cover."""
     inside = F.col("ts").between(F.col("starts_at"), F.col("ends_at")) & F.col("w_category").isin("*") | F.col("ts").between(F.col("starts_at"), F.col("ends_at")) & (F.col("w_category") == F.col("category"))
     w = windows.select("window_id", F.col("resource_id").alias("w_resource"), F.col("category").alias("w_category"), "starts_at", "ends_at", "reason")
     keys = predictions.select("prediction_id", "resource_id", "category", "ts")
     named = keys.join(w.where("w_resource <> '*'"), F.col("resource_id") == F.col("w_resource")).where(inside)
-    wild = keys.join(F.broadcast(w.where("w_resource = '*'")), inside)
+    days = w.where("w_resource = '*'").withColumn("day", F.explode(F.sequence(F.to_date("starts_at"), F.to_date("ends_at"))))
+    wild = keys.withColumn("day", F.to_date("ts")).join(days, "day").where(inside)
     hit = named.select("prediction_id", "window_id", "reason").union(wild.select("prediction_id", "window_id", "reason")).groupBy("prediction_id").agg(F.min_by("reason", "window_id").alias("reason"))
     out = predictions.join(hit, "prediction_id", "left").withColumn("suppressed", F.col("reason").isNotNull())
     return out.withColumn("severity", F.when(F.col("suppressed"), "INFO").otherwise(F.col("severity"))).withColumn("trigger", F.col("trigger") & ~F.col("suppressed"))
@@ -133,10 +134,13 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], newest: str) -> Data
 
 
 def feedback_labels(predictions: DataFrame, incidents: DataFrame, now: DataFrame, hit_hours: float = 6, miss_hours: float = 24) -> DataFrame:
-    """J-5, D-9: TP if an incident of the resource opens within the hours, FP once old enough without one, else unknown."""
-    i = incidents.select(F.col("resource_id").alias("i_resource"), "opened_at")
-    window = (F.col("resource_id") == F.col("i_resource")) & (F.col("opened_at") >= F.col("ts")) & (F.col("opened_at") <= F.col("ts") + F.make_dt_interval(hours=F.lit(int(hit_hours))))
-    first = predictions.join(i, window).groupBy("prediction_id").agg(F.min("opened_at").alias("outcome_at"))
+    """J-5, D-9: TP if an incident of the resource opens within the hours, FP once old enough without one, else unknown. The
+    join is on resource and stretch of time, so a resource with very many rows is no square."""
+    stretch = lambda ts: F.floor(C.seconds(ts) / (3600 * hit_hours))
+    i = incidents.select(F.col("resource_id").alias("i_resource"), "opened_at", stretch(F.col("opened_at")).alias("i_stretch"))
+    seen = predictions.withColumn("stretch", F.explode(F.array(stretch(F.col("ts")), stretch(F.col("ts")) + 1)))
+    window = (F.col("resource_id") == F.col("i_resource")) & (F.col("stretch") == F.col("i_stretch")) & (F.col("opened_at") >= F.col("ts")) & (F.col("opened_at") <= F.col("ts") + F.make_dt_interval(hours=F.lit(int(hit_hours))))
+    first = seen.join(i, window).groupBy("prediction_id").agg(F.min("opened_at").alias("outcome_at"))
     out = predictions.join(first, "prediction_id", "left")
     age = C.hours_between(F.col("ts"), now.scalar())
     return out.withColumn("label", F.when(F.col("outcome_at").isNotNull(), "TP").when(age >= miss_hours, "FP").otherwise("unknown"))
@@ -160,8 +164,12 @@ def forecast_accuracy(pairs: DataFrame) -> DataFrame:
 
 
 def tolerance_join(forecasts: DataFrame, actuals: DataFrame, horizon_hours: float) -> DataFrame:
-    """J-7: forecast rows and readings of the same series about a horizon apart; all that fit are kept."""
+    """J-7: forecast rows and readings of the same series about a horizon apart; all that fit are kept. The join is on
+    series and stretch of time as wide as the tolerance on both sides."""
     tolerance = max(6.0, horizon_hours / 2)
-    a = actuals.select("resource_id", "feature", F.col("ts").alias("actual_ts"), F.col("value").alias("actual"))
+    stretch = lambda ts, hours=0.0: F.floor((C.seconds(ts) / 3600 + hours) / (2 * tolerance))
+    a = actuals.select("resource_id", "feature", F.col("ts").alias("actual_ts"), F.col("value").alias("actual"), stretch(F.col("ts")).alias("_stretch"))
+    first = stretch(F.col("ts"), horizon_hours - tolerance)
+    forecasts = forecasts.withColumn("_stretch", F.explode(F.array(first, first + 1)))
     apart = C.hours_between(F.col("ts"), F.col("actual_ts"))
-    return forecasts.join(a, ["resource_id", "feature"]).where(apart.between(horizon_hours - tolerance, horizon_hours + tolerance))
+    return forecasts.join(a, ["resource_id", "feature", "_stretch"]).where(apart.between(horizon_hours - tolerance, horizon_hours + tolerance)).drop("_stretch")

@@ -1,5 +1,6 @@
 """Registered queries: scans, enrichment, normalisation, quality, profiles and anomaly signals, each with its SQL."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions import columns as C
@@ -272,7 +273,7 @@ SPARSE = "CASE WHEN sample_count < 40 THEN 0.0 ELSE value END"
 a AS (SELECT resource_id, category, feature, sum(CASE WHEN value = 0 THEN 1 ELSE 0 END) / any_value(slots) AS zf, 1 - count(value) / any_value(slots) AS nf, bool_or(gap_flag) AS g FROM z GROUP BY ALL)
 SELECT resource_id, category, feature, {r6('zf')} AS zero_frac, {r6('nf')} AS null_frac, CASE WHEN zf > 0.8 THEN 'idle' WHEN g AND nf > 0.3 THEN 'missing' WHEN zf > 0.1 THEN 'sparse' ELSE 'ok' END AS state FROM a""")
 def data_state(spark, d):
-    slots = F.count("*").over(__import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("resource_id", "category"))
+    slots = F.count("*").over(Window.partitionBy("resource_id", "category"))
     flagged = normalize.gap_flags(A.telemetry(spark, d), SERIES).withColumn("slots", slots).withColumn("value", F.expr(SPARSE))
     return normalize.data_state(flagged, SERIES).select(*SERIES, C.r(F.col("zero_frac")).alias("zero_frac"), C.r(F.col("null_frac")).alias("null_frac"), "state")
 

@@ -155,13 +155,13 @@ def breach_append(spark, d):
     return decisions.append_new(log.where("ts <= timestamp_ntz '2024-01-15 00:00:00'"), log).select("event_key", "resource_id", "metric_name")
 
 
-@query(f"""WITH {P_SQL}, o AS (SELECT *, (row_number() OVER {OVER} - 1) AS hours FROM p), q AS (SELECT {KEY_SQL}, hours, value FROM o WHERE hours < 6),
+@query(f"""WITH {P_SQL}, o AS (SELECT *, (row_number() OVER {OVER} - 1) AS hours FROM p), q AS (SELECT {KEY_SQL}, hours, value FROM o),
 c AS (SELECT *, value >= 120 AS ov, lag(value) OVER w AS v1, lag(hours) OVER w AS h1, lag(value >= 120) OVER w AS b FROM q WINDOW w AS (PARTITION BY {KEY_SQL} ORDER BY hours))
 SELECT {KEY_SQL}, {r6('min(CASE WHEN ov AND b IS NULL THEN 0.0 WHEN ov AND NOT b AND value <> v1 THEN h1 + greatest(0.0, least(1.0, (120 - v1) / (value - v1))) * (hours - h1) END)')} AS eta_hours FROM c GROUP BY ALL""")
 def next_breach(spark, d):
     from pyspark.sql import Window
 
-    rows = typed(spark, d).withColumn("hours", (F.row_number().over(Window.partitionBy(*KEYS).orderBy("ts", "event_id")) - 1).cast("double")).where("hours < 6")
+    rows = typed(spark, d).withColumn("hours", (F.row_number().over(Window.partitionBy(*KEYS).orderBy("ts", "event_id")) - 1).cast("double"))
     points = rows.select(*KEYS, "hours", "value", F.lit("gte").alias("operator"), F.lit(120.0).alias("limit"))
     return decisions.next_breach(points, KEYS).withColumn("eta_hours", C.r(F.col("eta_hours")))
 

@@ -1,6 +1,6 @@
 """All registered queries of the library."""
 
-from fleetlens.plans import base_queries, decision_queries, detail_queries, forecast_queries  # noqa: F401
+from fleetlens.plans import base_queries, decision_queries, detail_queries, forecast_queries, predict_queries  # noqa: F401
 from fleetlens.plans.registration import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
