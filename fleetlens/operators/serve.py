@@ -1,10 +1,15 @@
 """Reads for dashboards, digests and explanations; sinks."""
 
+import json
+import re
+import time
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import columns as C
+from fleetlens.sources.shared import cut
 
 
 def search(rows: DataFrame, text: str | None = None, equals: dict | None = None, least_risk: float | None = None, tag: tuple[str, str] | None = None, offset: int = 0, limit: int | None = None) -> DataFrame:
@@ -113,6 +118,64 @@ def summarise(chunks: DataFrame, call=None) -> DataFrame:
     return grouped.mapInPandas(run, "project string, chunk int, summary string, error string")
 
 
+def reduce_summaries(parts: DataFrame, call=None, fan_in: int = 8) -> DataFrame:
+    """L-3: the texts of a project's chunks made one by call(project, texts), fan_in at a time and again until one is left,
+    so that no call and no group grows with the project. Without a call, texts are joined by lines. A text alone stays as it
+    is; errors are carried along, and a project has an empty text only where all its chunks failed."""
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for project, n, items in zip(pdf["project"], pdf["chunk"], pdf["items"], strict=True):
+                texts = [i["summary"] for i in items if i["summary"] is not None]
+                errors = [i["error"] for i in items if i["error"] is not None]
+                text = texts[0] if texts else None
+                if len(texts) > 1:
+                    try:
+                        text = call(project, texts) if call else "\n".join(texts)
+                    except Exception as e:
+                        text, errors = None, [*errors, str(e)]
+                out.append((project, int(n), text, "; ".join(errors) or None))
+            yield pd.DataFrame(out, columns=["project", "chunk", "summary", "error"])
+
+    level = cut(parts.select("project", "chunk", "summary", "error"))
+    last = level.agg(F.max("chunk")).first()[0] or 0
+    counts = level.groupBy("project").agg(F.count("*").alias("chunks"))
+    while last > 0:
+        items = F.array_sort(F.collect_list(F.struct("chunk", "summary", "error")))
+        grouped = level.groupBy("project", F.floor(F.col("chunk") / fan_in).cast("int").alias("group")).agg(items.alias("items"))
+        level = cut(grouped.withColumnRenamed("group", "chunk").mapInPandas(run, "project string, chunk int, summary string, error string"))
+        last //= fan_in
+    return level.join(counts, "project").select("project", "summary", "error", "chunks")
+
+
+def with_retries(call, retries: int = 2, wait: float = 2.0):
+    """L-4: the callable tried again after a failure, after `wait` seconds, then twice and so on; the last failure is raised."""
+
+    def tried(*args):
+        for n in range(retries):
+            try:
+                return call(*args)
+            except Exception:
+                time.sleep(wait * (n + 1))
+        return call(*args)
+
+    return tried
+
+
+def parse_reply(text: str) -> dict:
+    """L-4: a provider's reply as an object: thoughts and a code fence around it are taken off; what is no JSON object
+    becomes its narrative, marked so."""
+    body = re.sub(r"(?s)<think>.*?</think>", "", text).strip()
+    fenced = re.fullmatch(r"(?is)```(?:json)?\s*(.*?)\s*```", body)
+    body = fenced[1] if fenced else body
+    try:
+        found = json.loads(body)
+    except ValueError:
+        found = None
+    return found if isinstance(found, dict) else {"narrative": body, "risk_level": "UNKNOWN", "parse_error": True}
+
+
 def write_by_category(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K-3: one folder per category."""
     rows.write.mode(mode).partitionBy("category").parquet(path)
