@@ -58,10 +58,12 @@ def seasonal_phase(rows: DataFrame, offsets: list[int], keys: list[str] = KEYS)
     return got.select(*keys, "hours", *[F.coalesce(F.get("p", k), "middle").alias(n) for k, n in enumerate(("point", "lower", "upper"))])
 
 
-def mase_scale(rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """T-17 without season."""
-    step = F.abs(F.col("value") - F.lag("value").over(Window.partitionBy(*keys).orderBy("ts", "event_id")))
-    out = rows.withColumn("step", step).groupBy(*keys).agg(F.avg("step").alias("raw"), F.avg(F.abs("value")).alias("size"))
+def mase_scale(rows: DataFrame, keys: list[str] = KEYS, period: int | None = None) -> DataFrame:
+    """T-17, W-9: mean step over `period` readings where there are two periods or more, else over one, with a floor."""
+    back = lambda k: F.abs(F.col("value") - F.lag("value", k).over(Window.partitionBy(*keys).orderBy("ts", "event_id")))
+    out = rows.withColumn("step", back(1)).withColumn("season", back(period or 1)).groupBy(*keys)
+    out = out.agg(F.avg("step").alias("one"), F.avg("season").alias("far"), F.count("value").alias("n"), F.avg(F.abs("value")).alias("size"))
+    out = out.withColumn("raw", F.when(F.col("n") >= 2 * (period or 1), F.col("far")).otherwise(F.col("one")))
     floor = S.FLOOR * F.col("size")
     value = F.when(F.col("size") <= 1e-9, F.when(F.col("raw") > 1e-9, F.col("raw"))).otherwise(F.greatest(F.col("raw"), floor))
     return out.where("raw is not null").select(*keys, value.alias("scale"), ((F.col("size") > 1e-9) & (F.col("raw") < floor)).alias("floored"))

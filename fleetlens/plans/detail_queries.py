@@ -144,14 +144,17 @@ def missingness(spark, d):
     return t.select("event_id", "resource_id", F.col("vmax").isNull().cast("int").alias("vmax_missing"), F.when(F.col("sample_count") > 50, F.col("sample_count")).isNull().cast("int").alias("count_missing"))
 
 
-@query()
+@query(f"""WITH {P_SQL}, ts0 AS (SELECT *, row_number() OVER (PARTITION BY resource_id ORDER BY ts, event_id) <= greatest(1, floor(0.8 * count(*) OVER (PARTITION BY resource_id))) AS train FROM p),
+st AS (SELECT category, feature, avg(value) AS mean, stddev_samp(value) AS sd FROM ts0 WHERE train GROUP BY ALL), sc AS (SELECT vmax > mean + sd AS a, value > mean + sd AS b FROM ts0 JOIN st USING (category, feature) WHERE NOT train),
+c AS (SELECT count(*) FILTER (a AND b)::DOUBLE AS tp, count(*) FILTER (a AND NOT b)::DOUBLE AS fp, count(*) FILTER (NOT a AND b)::DOUBLE AS fn, count(*) FILTER (NOT a AND NOT b)::DOUBLE AS tn FROM sc)
+SELECT tp + fp + fn + tn AS n, {r6('(tp + tn) / (tp + fp + fn + tn)')} AS accuracy, {r6('greatest(tp + fn, tn + fp) / (tp + fp + fn + tn)')} AS majority, {r6('tp / greatest(1, tp + fp)')} AS precision, {r6('tp / greatest(1, tp + fn)')} AS recall, {r6('2 * tp / greatest(1, 2 * tp + fp + fn)')} AS f1 FROM c""")
 def classifier_metrics(spark, d):
     """A-21 of a rule: high readings of the first 80 percent's scale predict outliers."""
     x = forecast.time_split(typed(spark, d))
     stats = details.label_stats(x.where("train"))
     y = x.where("not train").join(stats, ["category", "feature"])
     scored = y.select((F.col("vmax") > F.col("mean") + F.col("sd")).cast("int").alias("prediction"), (F.col("value") > F.col("mean") + F.col("sd")).cast("int").alias("label"))
-    return risk_models.classifier_metrics(scored)
+    return risk_models.classifier_metrics(scored).select("n", *[C.r(F.col(c)).alias(c) for c in ("accuracy", "majority", "precision", "recall", "f1")])
 
 
 @query(f"WITH {PRED_SQL} SELECT project, category, count(*) AS n, {r6('sum(risk)')} AS risk FROM pr GROUP BY ALL")
