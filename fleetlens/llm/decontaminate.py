@@ -5,6 +5,12 @@ benchmark are held by every task (in blocks of a bounded size); a document's win
 are hash-joined with the benchmark's table, which says whose they are and what stood in the slots. A re-parameterised
 question is one where each slot value of the item has a single value in an occurrence of it in the document. Windows of
 the bare words stand beside the templates, so that literal copies match whatever they consist of.
+
+A phrase that many items share ("Which of the following is the best answer") says nothing about one of them. So places of
+an item are ranked by how many texts of the benchmark have what stands there, and an occurrence counts only with some of
+the item's rarest places or with half of all. That is also the prefix filter: whatever leaks holds one of the rarest places
+or of the half-and-one rarest, so only these are joined with the documents' windows, and all other windows are joined for
+the candidate pairs alone.
 """
 
 import numpy as np
@@ -23,6 +29,11 @@ WHOLE = 2
 SHIFT = 4
 #: A document leaks an item if so many of the item's windows (or all, if it has fewer) stand in it.
 LEAST = 4
+#: The benchmark's table is broadcast up to so many bytes.
+BROADCAST_BYTES = 16 << 20
+#: So many of them (or all, if there are fewer) must be among the item's rarest, unless half of the item stands there. One
+#: may reach a single word beyond a shared phrase.
+RARE = 2
 #: Hashes of the benchmark that a task holds at once (8 bytes each); a larger benchmark takes several passes.
 HELD = 4_000_000
 #: Words for units, which count as such after a number.
@@ -109,14 +120,14 @@ def _unit_hashes() -> np.ndarray:
 
 #: Variants of a window: template without names, with names, with possible names at the opening of sentences, bare words.
 OPENED, EXACT = 2, 3
-_BENCH = "hash long, item_id long, item long, at int, size int, slots array<long>, windows int, exact_windows int, whole boolean, opened boolean, template boolean, exact boolean"
+_BENCH = "hash long, item_id long, item long, content long, at int, size int, slots array<long>, windows int, exact_windows int, whole boolean, opened boolean, template boolean, exact boolean"
 _HIT = "doc_id long, content long, hash long, word int, doc_slots array<long>"
 
 
 def _bench(batches, window: int, literal: int):
     for batch in batches:
         rows = []
-        for item, text, own in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+        for item, text, own, content in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             data, offsets = utf8(pa.array([text.as_py() or ""], pa.large_string()))
             t = Template(data, offsets)
             size = min(window, len(t.words))
@@ -133,17 +144,31 @@ def _bench(batches, window: int, literal: int):
             several, places = len({at for at, _ in templates}), len({at for at, _ in found})
             for (at, h), (slots, _, variant, exact) in found.items():
                 if exact or (at, h) in templates:
-                    rows.append((int(np.uint64(h).view(np.int64)), item, own, at, size, slots, several, places, whole, variant == OPENED, (at, h) in templates, exact))
-        columns = list(zip(*rows, strict=True)) or [()] * 12
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.int32(), *[pa.bool_()] * 4]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["hash", "item_id", "item", "at", "size", "slots", "windows", "exact_windows", "whole", "opened", "template", "exact"])
+                    rows.append((int(np.uint64(h).view(np.int64)), item, own, content, at, size, slots, several, places, whole, variant == OPENED, (at, h) in templates, exact))
+        columns = list(zip(*rows, strict=True)) or [()] * 13
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.int32(), *[pa.bool_()] * 4]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["hash", "item_id", "item", "content", "at", "size", "slots", "windows", "exact_windows", "whole", "opened", "template", "exact"])
 
 
 def bench_windows(benchmark: DataFrame, window: int = WINDOW, literal: int = LITERAL) -> DataFrame:
-    """hash, item_id, item (its id and text), at, size, slots, windows (how many places of the item have a template), exact_windows (bare words)
+    """hash, item_id, item (its id and text), content (its text), at, size, slots, windows (how many places of the item have a template), exact_windows (bare words)
     and whether the templates stand for the item only all together, count as names what opens a sentence, and are a
     template and bare words. An item shorter than a window is one window; a null or empty item has none."""
-    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text", F.xxhash64("item_id", "text")).mapInArrow(lambda it: _bench(it, window, literal), _BENCH)
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text", F.xxhash64("item_id", "text"), F.xxhash64("text")).mapInArrow(lambda it: _bench(it, window, literal), _BENCH)
+
+
+def ranked(bench: DataFrame) -> DataFrame:
+    """bench with rare (the place is one of its item's rarest) and first (an occurrence that counts has a place like this: a
+    rare one, one of the half-and-one rarest, or a template of an item that needs them all).
+
+    A place is as common as the most general of its windows: the number of different texts that have it."""
+    held = bench.groupBy("hash", "content").agg(F.lit(1).alias("n")).groupBy("hash").agg(F.sum("n").alias("texts"))
+    out = bench.join(held, "hash").withColumn("texts", F.max("texts").over(Window.partitionBy("item", "at")))  # an item's windows
+    by = Window.partitionBy("item")
+    out = out.withColumns({"rare": F.col("texts") == F.min("texts").over(by), "rank": F.dense_rank().over(by.orderBy("texts", "at"))})
+    first = F.col("rare") | (F.col("rank") <= F.floor(F.col("exact_windows") / 2) + 1) | F.col("whole") & F.col("template")
+    rares = F.size(F.collect_set(F.when(F.col("rare"), F.col("at"))).over(by))
+    return out.withColumns({"first": first, "rares": rares}).drop("rank", "texts", "content")
 
 
 def _lookup(batches, shared):
@@ -193,16 +218,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal:
 
     An occurrence is what stands at one shift of the item's words, at neighbouring shifts, or in the whole document; each
     is judged with and without the templates that take a sentence's opening word for a name, and one that passes is
-    enough. Null or empty texts on either side have no windows; words cut at their ends still count by their windows;
-    documents are told apart by id and text, items too, so rows that repeat both count once and null ids are no group; empty tables give no rows; other columns are
-    not read.
+    enough: it has `least` of the item's places, among them two of its rarest, or else half of all. Null or empty texts on
+    either side have no windows; words cut at their ends still count by their windows; a text of any length is searched
+    whole; documents are told apart by id and text, items too, so rows that repeat both count once and null ids are no
+    group; of equally good occurrences the one with the larger place is shown; empty tables give no rows; other columns
+    are not read.
     """
-    bench = cut(bench_windows(benchmark, window, literal))
-    hits = window_hits(docs, bench, held).distinct()
-    pairs = hits.join(F.broadcast(bench) if bench.count() <= held // 8 else bench, "hash")
+    bench = cut(ranked(cut(bench_windows(benchmark, window, literal))))
+    hits = cut(window_hits(docs, bench, held).distinct())
+    size = bench.agg(F.sum(F.size("slots") * 8 + 96)).first()[0] or 0
+    table = F.broadcast(bench) if size <= BROADCAST_BYTES else bench
+    some = F.broadcast(bench.where("first").select("hash", "item")) if size <= BROADCAST_BYTES else bench.where("first").select("hash", "item")
+    candidates = hits.select("doc_id", "content", "hash").distinct().join(some, "hash").select("doc_id", "content", "item").distinct()
+    asked = candidates.join(table, "item")
+    same = (F.col("h.hash") == F.col("a.hash")) & F.col("h.doc_id").eqNullSafe(F.col("a.doc_id")) & F.col("h.content").eqNullSafe(F.col("a.content"))
+    pairs = asked.alias("a").join(hits.alias("h"), same).select("a.*", "h.word", "h.doc_slots")
     values = F.filter(F.arrays_zip(F.col("slots").alias("item"), F.col("doc_slots").alias("doc")), lambda x: x.item != 0)
     keys = ["doc_id", "content", "item_id", "item"]
-    columns = [*keys, "at", "word", "size", "windows", "exact_windows", "whole", "opened", "template", "exact"]
+    columns = [*keys, "at", "word", "size", "windows", "exact_windows", "whole", "opened", "template", "exact", "rare", "rares"]
     pairs = pairs.select(*columns, (F.col("word") - F.col("at")).alias("shift"), F.transform(values, lambda x: F.struct(x.item.alias("item"), x.doc.alias("doc"))).alias("values"))
     by = Window.partitionBy(*keys).orderBy("shift")
     pairs = pairs.withColumn("far", F.coalesce(F.col("shift") - F.lag("shift").over(by) > SHIFT, F.lit(False)).cast("int")).withColumn("near", F.sum("far").over(by))
@@ -211,7 +244,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal:
     found = lambda condition: F.count_distinct(F.when(condition, F.col("at")))
     occurrences = spread.groupBy(*keys, "o").agg(
         found(F.col("template")).alias("n_template"), found(F.col("exact")).alias("n_exact"),
-        found(F.col("template") & (F.size("values") == 0)).alias("fixed"), F.count_distinct("at").alias("n_windows"),
+        found(F.col("template") & (F.size("values") == 0)).alias("fixed"), found(F.col("rare") & F.col("template")).alias("rare_template"),
+        found(F.col("rare") & F.col("template") & (F.size("values") == 0)).alias("rare_fixed"), found(F.col("rare") & F.col("exact")).alias("rare_exact"), F.least(F.lit(RARE), F.max("rares")).alias("rares"), F.count_distinct("at").alias("n_windows"),
         F.max("windows").alias("templates"), F.max("exact_windows").alias("exacts"), F.max("whole").alias("whole"),
         F.min("word").alias("first_word"), F.max(F.col("word") + F.col("size") - 1).alias("last_word"),
         F.array_distinct(F.flatten(F.collect_set("values"))).alias("values"),
@@ -219,8 +253,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal:
     item_values = F.size(F.array_distinct(F.transform("values", lambda x: x.item)))
     judged = occurrences.select("*", F.size("values").alias("n_slots"), (item_values == F.size("values")).alias("slots_consistent"))
     need = F.when(F.col("whole"), F.col("templates")).otherwise(F.least(F.lit(least), F.col("templates")))
-    templated = (F.col("templates") > 0) & (F.when(F.col("slots_consistent"), F.col("n_template")).otherwise(F.col("fixed")) >= need)
-    enough = templated | (F.col("n_exact") >= F.least(F.lit(least), F.col("exacts")))
+    n, rare = (F.when(F.col("slots_consistent"), F.col(a)).otherwise(F.col(b)) for a, b in (("n_template", "fixed"), ("rare_template", "rare_fixed")))
+    templated = (F.col("templates") > 0) & (n >= need) & ((rare >= F.col("rares")) | F.col("whole") | (2 * n >= F.col("exacts")))
+    enough = templated | (F.col("n_exact") >= F.least(F.lit(least), F.col("exacts"))) & ((F.col("rare_exact") >= F.col("rares")) | (2 * F.col("n_exact") >= F.col("exacts")))
     fields = [F.col(c) if c != "item_windows" else F.greatest("templates", "exacts").alias(c) for c in ("slots_consistent", "n_windows", "item_windows", "n_slots", "first_word", "last_word")]
     best = judged.where(enough).groupBy(*keys).agg(F.max(F.struct(*fields)).alias("b"))
     return best.select("doc_id", "content", "item_id", "b.n_windows", "b.item_windows", "b.n_slots", "b.slots_consistent", "b.first_word", "b.last_word")
