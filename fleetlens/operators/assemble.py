@@ -38,7 +38,11 @@ def gated(predictions: DataFrame, now: DataFrame, rows: DataFrame, most_minutes:
     """D-1: predictions (with completeness, risk, score, dominant) after the gates, in this order: no telemetry, stale, too
     little history, normal. The first two have no risk; none of the three alerts."""
     stale = quality.stale_resources(rows, now, most_minutes)
-    x = predictions.join(stale, "resource_id", "left").join(quality.history_hours(rows).select("resource_id", "hours"), "resource_id", "left")
+    return gates(predictions.join(stale, "resource_id", "left").join(quality.history_hours(rows).select("resource_id", "hours"), "resource_id", "left"), least_hours)
+
+
+def gates(x: DataFrame, least_hours: float = 24) -> DataFrame:
+    """The gates of `gated`, over rows with age_minutes (null: not stale) and hours of history."""
     silent, old, thin = F.col("completeness") == 0, F.col("age_minutes").isNotNull(), C.is_true(F.col("hours") < least_hours)
     gate = F.when(silent, "no_telemetry").when(old, "stale").when(thin, "thin").otherwise("normal")
     minutes, span = F.bround("age_minutes", 0).cast("long").cast("string"), F.format_string("%.1f", C.r(F.col("hours"), 1))

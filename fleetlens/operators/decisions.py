@@ -7,27 +7,12 @@ from fleetlens.functions import columns as C
 from fleetlens.functions import vocabulary as V
 from fleetlens.operators import serve
 
-#: Fixed values: (category, feature, operator, limit, what fails) of failure predictions on current values.
-FAILURE_RULES = [
-    ("Compute", "canonical_cpu_pct", ">=", 80, "cpu_saturation"), ("Compute", "canonical_mem_used_pct", ">=", 85, "memory_pressure"), ("Compute", "status_check_failed", ">", 0, "instance_failure"),
-    ("Network", "canonical_active_connections", ">=", 10000, "connection_exhaustion"), ("Network", "canonical_subnet_util_pct", ">=", 80, "subnet_exhaustion"), ("Network", "canonical_ddos_signal", ">=", 1, "ddos"),
-    ("Storage", "canonical_storage_used_pct", ">=", 80, "capacity"), ("Storage", "canonical_burst_balance_pct", "<", 20, "burst_credits"),
-]
 #: Fixed values: (category, feature, operator, limit, points) of weak risk labels; 50 points make a label.
 RISK_POINTS = [
     ("Compute", "canonical_cpu_pct", ">=", 80, 35), ("Compute", "canonical_mem_used_pct", ">=", 85, 30), ("Compute", "canonical_iowait_pct", ">=", 20, 20), ("Compute", "status_check_failed", ">", 0, 30), ("Compute", "lambda_throttles", ">", 0, 20), ("Compute", "cpu_credit_balance", "<", 20, 15),
     ("Network", "canonical_ddos_signal", ">", 0, 45), ("Network", "canonical_health_pct", "<", 90, 35), ("Network", "canonical_subnet_util_pct", ">=", 80, 30), ("Network", "canonical_active_connections", ">", 10000, 15),
     ("Storage", "canonical_storage_used_pct", ">=", 80, 35), ("Storage", "canonical_burst_balance_pct", "<", 20, 30), ("Storage", "canonical_queue_depth", ">", 10, 25), ("Storage", "availability_pct", "<", 99, 25), ("Storage", "backup_health_event", ">", 0, 20),
 ]
-#: Fixed values: (category, feature, operator, limit, advice key) of recommendations.
-ADVICE_RULES = [
-    ("Compute", "canonical_cpu_pct", ">=", 80, "scale_up"), ("Compute", "canonical_cpu_pct", "<", 25, "scale_down"), ("Compute", "canonical_mem_used_pct", ">=", 85, "add_memory"), ("Compute", "cpu_credit_balance", "<", 20, "leave_burstable"),
-    ("Network", "canonical_ddos_signal", ">", 0, "mitigate_ddos"), ("Network", "canonical_health_pct", "<", 90, "repair_targets"), ("Network", "canonical_subnet_util_pct", ">=", 80, "extend_subnet"),
-    ("Storage", "canonical_storage_used_pct", ">=", 80, "add_capacity"), ("Storage", "canonical_burst_balance_pct", "<", 20, "provision_throughput"), ("Storage", "backup_health_event", ">", 0, "check_backup"),
-    ("Container", "canonical_node_cpu_pct", ">=", 85, "add_nodes"), ("Container", "canonical_node_mem_pct", ">=", 85, "add_node_memory"), ("Container", "canonical_unschedulable_pods", ">", 0, "free_capacity"), ("Container", "canonical_api_inflight_requests", ">", 400, "throttle_clients"),
-    ("Databases", "canonical_db_cpu_pct", ">=", 80, "tune_or_scale"), ("Databases", "canonical_db_storage_pct", ">=", 85, "extend_storage"), ("Databases", "canonical_db_connections", ">=", 90, "pool_connections"),
-]
-
 
 def compare(value: Column, op: Column | str, limit: Column) -> Column:
     """A comparison named by a word or sign; null is false."""
@@ -41,7 +26,7 @@ def compare(value: Column, op: Column | str, limit: Column) -> Column:
 
 
 def fired(category: Column, feature: Column, value: Column, rules: list[tuple]) -> Column:
-    """What the rules of a category and feature say about a value, in rule order (D-4, D-5, M-1)."""
+    """What the rules of a category and feature say about a value, in rule order (M-1)."""
     tests = [F.when((category == c) & (feature == f) & compare(value, op, F.lit(limit)), F.lit(what)) for c, f, op, limit, what in rules]
     return F.filter(F.array(*tests), lambda x: x.isNotNull())
 

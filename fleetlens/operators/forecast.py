@@ -146,7 +146,7 @@ def _forecast(bursty: tuple[str, ...]):
         one = pdf.iloc[0]
         prior = S.Prior(None if pd.isna(one["prior"]) else float(one["prior"]), 0 if pd.isna(one["pool"]) else int(one["pool"]), not str(one["rtype"]).startswith("other_"))
         noisy = one["feature"] in bursty
-        out = S.live(x, y, noisy, str(one["feature"]).endswith("_pct"), False, prior)
+        out = S.live(x, y, noisy, str(one["feature"]).endswith("_pct"), bool(one["mixed"]), prior)
         test = S.backtest(x, y, noisy)
         row = {"resource_id": one["resource_id"], "category": one["category"], "feature": one["feature"], "n": len(y), "current": float(y[-1])}
         row |= {k: out[k] for k in ("method", "trend", "r2", "reliability", "tier", "note")}
@@ -162,10 +162,11 @@ def _forecast(bursty: tuple[str, ...]):
     return per_series
 
 
-def forecasts(rows: DataFrame, priors: DataFrame, bursty: tuple[str, ...] = ()) -> DataFrame:
+def forecasts(rows: DataFrame, priors: DataFrame, bursty: tuple[str, ...] = (), on: list[str] = ("rtype", "category", "feature"), mixed: DataFrame | None = None) -> DataFrame:
     """T-22, T-23 and T-16 for every series of rows (with rtype): one row each, with five horizons and a back-test. The
-    group is one series, whose length is what one resource can report."""
-    joined = rows.select("resource_id", "category", "feature", "rtype", "ts", "event_id", "value").join(priors, ["rtype", "category", "feature"], "left")
+    group is one series, whose length is what one resource can report. mixed: KEYS and whether the series mixes statistics."""
+    joined = rows.select("resource_id", "category", "feature", "rtype", "ts", "event_id", "value").join(priors, list(on), "left")
+    joined = joined.join(mixed, KEYS, "left").withColumn("mixed", C.is_true(F.col("mixed"))) if mixed is not None else joined.withColumn("mixed", F.lit(False))
     out = joined.groupBy(*KEYS).applyInPandas(_forecast(tuple(bursty)), FORECAST_SCHEMA)
     proxies = error_proxies(rows)
     scored = out.join(proxies, KEYS, "left")

@@ -46,7 +46,7 @@ def lines(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def failures(category: Column, feature: Column, now: Column, f_1h: Column, f_6h: Column) -> Column:
     """D-4: an array of (failure, metric, threshold, span, predicted): forecasts of the feature at hand and present values
-    against their limits, in rule order."""
+    against their limits, in rule order. Names of failures and of what is measured now are fixed values."""
     kind = "struct<failure:string,metric:string,threshold:double,span:string,predicted:double>"
 
     def item(name, metric, limit, span, value, test=None):
@@ -56,19 +56,19 @@ def failures(category: Column, feature: Column, now: Column, f_1h: Column, f_6h:
     got = lambda m: now[m]
     is_ = lambda f: feature == f
     soon = lambda name, limit, span, value, f: F.when(is_(f), item(name, feature, limit, span, value))
-    here = lambda name, limit, m, test=None: item(name, F.lit(m), limit, "current", got(m), test)
+    here = lambda name, shown_as, limit, m, test=None: item(name, F.lit(shown_as), limit, "current", got(m), test)
     rules = {
         "Compute": [
-            soon("cpu_80", 80, "1h", f_1h, "canonical_cpu_pct"), soon("cpu_90", 90, "6h", f_6h, "canonical_cpu_pct"),
-            here("memory_pressure", 85, "canonical_mem_used_pct"), here("health_check", 1, "status_check_failed", got("status_check_failed") > 0),
+            soon("CPU_80_PERCENT_BREACH", 80, "1h", f_1h, "canonical_cpu_pct"), soon("CPU_90_PERCENT_BREACH", 90, "6h", f_6h, "canonical_cpu_pct"),
+            here("MEMORY_PRESSURE", "memory_used_percent", 85, "canonical_mem_used_pct"), here("INSTANCE_HEALTH_CHECK_FAILURE", "StatusCheckFailed", 1, "status_check_failed"),
         ],
         "Network": [
-            soon("connection_saturation", 10000, "1h", f_1h, "canonical_active_connections"),
-            here("subnet_capacity", 80, "canonical_subnet_util_pct"), here("ddos_signal", 1, "canonical_ddos_signal", got("canonical_ddos_signal") > 0),
+            soon("CONNECTION_SATURATION", 10000, "1h", f_1h, "canonical_active_connections"),
+            here("SUBNET_CAPACITY_RISK", "subnet_utilization_percent", 80, "canonical_subnet_util_pct"), here("DDOS_SIGNAL_DETECTED", "ddos_signal", 1, "canonical_ddos_signal"),
         ],
         "Storage": [
-            soon("storage_80", 80, "1h", f_1h, "canonical_storage_used_pct"), soon("storage_90", 90, "6h", f_6h, "canonical_storage_used_pct"),
-            here("burst_credits", 20, "canonical_burst_balance_pct", got("canonical_burst_balance_pct") < 20),
+            soon("STORAGE_80_PERCENT_BREACH", 80, "1h", f_1h, "canonical_storage_used_pct"), soon("STORAGE_90_PERCENT_BREACH", 90, "6h", f_6h, "canonical_storage_used_pct"),
+            here("BURST_CREDIT_EXHAUSTION", "burst_balance_percent", 20, "canonical_burst_balance_pct", got("canonical_burst_balance_pct") < 20),
         ],
     }
     out = F.array().cast(f"array<{kind}>")

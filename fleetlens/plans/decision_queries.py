@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions import columns as C
 from fleetlens.functions import vocabulary as V
-from fleetlens.operators import anomaly, decisions, ingest, quality, serve
+from fleetlens.operators import anomaly, decisions, ingest, predict, quality, serve
 from fleetlens.plans.base_queries import P_SQL, r6, sql_map, typed, values_sql
 from fleetlens.plans.forecast_queries import KEY_SQL, KEYS, OVER, PRED_SQL, predictions
 from fleetlens.plans.registration import query
@@ -49,14 +49,35 @@ def fired_sql(rules, quote=True):
     return tests
 
 
-@query(f"WITH {NEW_SQL} SELECT resource_id, category, feature, value, concat_ws(',', {', '.join(fired_sql(decisions.FAILURE_RULES))}) AS failures FROM nw")
+@query(f"""WITH {NEW_SQL} SELECT resource_id, category, feature, value, concat_ws(',', CASE WHEN category = 'Compute' AND metric = 'canonical_cpu_pct' AND value >= 80 THEN 'CPU_80_PERCENT_BREACH' END,
+ CASE WHEN category = 'Compute' AND metric = 'canonical_cpu_pct' AND value >= 90 THEN 'CPU_90_PERCENT_BREACH' END, CASE WHEN category = 'Compute' AND metric = 'canonical_mem_used_pct' AND value >= 85 THEN 'MEMORY_PRESSURE' END,
+ CASE WHEN category = 'Compute' AND metric = 'status_check_failed' AND value >= 1 THEN 'INSTANCE_HEALTH_CHECK_FAILURE' END, CASE WHEN category = 'Network' AND metric = 'canonical_active_connections' AND value >= 10000 THEN 'CONNECTION_SATURATION' END,
+ CASE WHEN category = 'Network' AND metric = 'canonical_subnet_util_pct' AND value >= 80 THEN 'SUBNET_CAPACITY_RISK' END, CASE WHEN category = 'Network' AND metric = 'canonical_ddos_signal' AND value >= 1 THEN 'DDOS_SIGNAL_DETECTED' END,
+ CASE WHEN category = 'Storage' AND metric = 'canonical_storage_used_pct' AND value >= 80 THEN 'STORAGE_80_PERCENT_BREACH' END, CASE WHEN category = 'Storage' AND metric = 'canonical_storage_used_pct' AND value >= 90 THEN 'STORAGE_90_PERCENT_BREACH' END,
+ CASE WHEN category = 'Storage' AND metric = 'canonical_burst_balance_pct' AND value < 20 THEN 'BURST_CREDIT_EXHAUSTION' END) AS failures FROM nw""")
 def failure_rules(spark, d):
-    return newest(spark, d).select(*KEYS, "value", F.array_join(decisions.fired(F.col("category"), F.col("metric"), F.col("value"), decisions.FAILURE_RULES), ",").alias("failures"))
+    """D-4 of a resource whose values stay as they are: the present value is its forecast."""
+    x = newest(spark, d)
+    got = predict.failures(F.col("category"), F.col("metric"), F.create_map("metric", "value"), F.col("value"), F.col("value"))
+    return x.select(*KEYS, "value", F.array_join(F.transform(got, lambda f: f.failure), ",").alias("failures"))
 
 
-@query(f"WITH {NEW_SQL} SELECT resource_id, category, feature, value, concat_ws(',', {', '.join(fired_sql(decisions.ADVICE_RULES))}) AS advice FROM nw")
+_ADVISED = [
+    ("Compute", "canonical_cpu_pct", ">= 80", "scale_up"), ("Compute", "canonical_cpu_pct", "< 25", "scale_down"), ("Compute", "canonical_mem_used_pct", ">= 85", "add_memory"), ("Compute", "cpu_credit_balance", "< 20", "leave_burstable"),
+    ("Network", "canonical_ddos_signal", "> 0", "mitigate_ddos"), ("Network", "canonical_health_pct", "< 90", "repair_targets"), ("Network", "canonical_subnet_util_pct", ">= 80", "extend_subnet"),
+    ("Storage", "canonical_storage_used_pct", ">= 80", "add_capacity"), ("Storage", "canonical_burst_balance_pct", "< 20", "provision_throughput"), ("Storage", "backup_health_event", "> 0", "check_backup"),
+    ("Container", "canonical_node_cpu_pct", ">= 85", "add_nodes"), ("Container", "canonical_node_mem_pct", ">= 85", "add_node_memory"), ("Container", "canonical_unschedulable_pods", "> 0", "free_capacity"), ("Container", "canonical_api_inflight_requests", "> 400", "throttle_clients"),
+    ("Databases", "canonical_db_cpu_pct", ">= 80", "tune_or_scale"), ("Databases", "canonical_db_storage_pct", ">= 85", "extend_storage"), ("Databases", "canonical_db_connections", ">= 90", "pool_connections"),
+]
+_ADVISED_SQL = ", ".join(f"CASE WHEN category = '{c}' AND metric = '{m}' AND value {test} THEN '{key}' END" for c, m, test, key in _ADVISED)
+
+
+@query(f"WITH {NEW_SQL} SELECT resource_id, category, feature, value, concat_ws(',', {_ADVISED_SQL}) AS advice FROM nw")
 def recommendation_flags(spark, d):
-    return newest(spark, d).select(*KEYS, "value", F.array_join(decisions.fired(F.col("category"), F.col("metric"), F.col("value"), decisions.ADVICE_RULES), ",").alias("advice"))
+    """D-5 of a resource whose values stay as they are. The limits of the SQL are its own."""
+    x, value = newest(spark, d), F.col("value")
+    line = {"current": value, "trend": F.lit("stable"), "reliability": F.lit("low"), "f_24h": value, "f_7d": value}
+    return x.select(*KEYS, "value", F.array_join(predict.advice(F.col("category"), F.col("metric"), F.create_map("metric", "value"), line, F.lit(0.0)), ",").alias("advice"))
 
 
 @query(f"""WITH {NEW_SQL}, st AS (SELECT category, feature, avg(value) AS mean, stddev_samp(value) AS sd FROM p GROUP BY ALL),

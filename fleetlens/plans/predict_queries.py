@@ -81,15 +81,15 @@ def feature_forecasts(spark, d):
 
 
 @query(f"""WITH {LINE_SQL}, fa AS (
-SELECT resource_id, category, 'cpu_80' AS failure, '1h' AS span, f1 AS v FROM fc WHERE category = 'Compute' AND feature = 'canonical_cpu_pct' AND f1 >= 80
-UNION ALL SELECT resource_id, category, 'cpu_90', '6h', f6 FROM fc WHERE category = 'Compute' AND feature = 'canonical_cpu_pct' AND f6 >= 90
-UNION ALL SELECT resource_id, category, 'memory_pressure', 'current', canonical_mem_used_pct FROM fc WHERE category = 'Compute' AND canonical_mem_used_pct >= 85
-UNION ALL SELECT resource_id, category, 'health_check', 'current', status_check_failed FROM fc WHERE category = 'Compute' AND status_check_failed > 0
-UNION ALL SELECT resource_id, category, 'subnet_capacity', 'current', canonical_subnet_util_pct FROM fc WHERE category = 'Network' AND canonical_subnet_util_pct >= 80
-UNION ALL SELECT resource_id, category, 'ddos_signal', 'current', canonical_ddos_signal FROM fc WHERE category = 'Network' AND canonical_ddos_signal > 0
-UNION ALL SELECT resource_id, category, 'storage_80', '1h', f1 FROM fc WHERE category = 'Storage' AND feature = 'canonical_storage_used_pct' AND f1 >= 80
-UNION ALL SELECT resource_id, category, 'storage_90', '6h', f6 FROM fc WHERE category = 'Storage' AND feature = 'canonical_storage_used_pct' AND f6 >= 90
-UNION ALL SELECT resource_id, category, 'burst_credits', 'current', canonical_burst_balance_pct FROM fc WHERE category = 'Storage' AND canonical_burst_balance_pct < 20)
+SELECT resource_id, category, 'CPU_80_PERCENT_BREACH' AS failure, '1h' AS span, f1 AS v FROM fc WHERE category = 'Compute' AND feature = 'canonical_cpu_pct' AND f1 >= 80
+UNION ALL SELECT resource_id, category, 'CPU_90_PERCENT_BREACH', '6h', f6 FROM fc WHERE category = 'Compute' AND feature = 'canonical_cpu_pct' AND f6 >= 90
+UNION ALL SELECT resource_id, category, 'MEMORY_PRESSURE', 'current', canonical_mem_used_pct FROM fc WHERE category = 'Compute' AND canonical_mem_used_pct >= 85
+UNION ALL SELECT resource_id, category, 'INSTANCE_HEALTH_CHECK_FAILURE', 'current', status_check_failed FROM fc WHERE category = 'Compute' AND status_check_failed >= 1
+UNION ALL SELECT resource_id, category, 'SUBNET_CAPACITY_RISK', 'current', canonical_subnet_util_pct FROM fc WHERE category = 'Network' AND canonical_subnet_util_pct >= 80
+UNION ALL SELECT resource_id, category, 'DDOS_SIGNAL_DETECTED', 'current', canonical_ddos_signal FROM fc WHERE category = 'Network' AND canonical_ddos_signal >= 1
+UNION ALL SELECT resource_id, category, 'STORAGE_80_PERCENT_BREACH', '1h', f1 FROM fc WHERE category = 'Storage' AND feature = 'canonical_storage_used_pct' AND f1 >= 80
+UNION ALL SELECT resource_id, category, 'STORAGE_90_PERCENT_BREACH', '6h', f6 FROM fc WHERE category = 'Storage' AND feature = 'canonical_storage_used_pct' AND f6 >= 90
+UNION ALL SELECT resource_id, category, 'BURST_CREDIT_EXHAUSTION', 'current', canonical_burst_balance_pct FROM fc WHERE category = 'Storage' AND canonical_burst_balance_pct < 20)
 SELECT resource_id, category, failure, span, round(v + 3.7e-8, 3) AS predicted FROM fa""")
 def failure_forecasts(spark, d):
     x = forecasted(spark, d)
