@@ -24,17 +24,6 @@ def ols(rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     return out.select(*keys, "n", F.when(flat, 0.0).otherwise(F.col("s")).alias("slope"), F.when(flat, F.col("mean")).otherwise(F.col("i")).alias("intercept"))
 
 
-def arrays(rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """One row per series with its readings in order; a series is what one resource reports of one feature."""
-    return rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("ts", "event_id", "value"))).alias("s")).select(*keys, F.transform("s", lambda r: r.value).alias("v"))
-
-
-def exp_smoothing(rows: DataFrame, alpha: float = 0.3, keys: list[str] = KEYS) -> DataFrame:
-    """T-4: the last smoothed level."""
-    level = F.aggregate(F.slice("v", 2, F.greatest(F.size("v") - 1, F.lit(0))), F.get("v", 0), lambda a, v: alpha * v + (1 - alpha) * a)
-    return arrays(rows, keys).select(*keys, level.alias("level"))
-
-
 def naive_last(rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """T-6."""
     return rows.groupBy(*keys).agg(F.max_by("value", F.struct("ts", "event_id")).alias("last"))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from fleetlens.functions import columns as C
-from fleetlens.operators import anomaly, forecast, profiles, risk_models
+from fleetlens.operators import anomaly, forecast, profiles, risk_models, stretches
 from fleetlens.plans.base_queries import P_SQL, SCORE_SQL, SLOPE_SQL, r6, typed
 from fleetlens.plans.registration import query
 
@@ -22,7 +22,7 @@ def ols_slope(spark, d):
 
 @query(f"WITH {P_SQL}, l AS (SELECT {KEY_SQL}, list(value ORDER BY ts, event_id) AS v FROM p GROUP BY ALL) SELECT {KEY_SQL}, {r6('list_reduce(v, lambda a, b: 0.3 * b + 0.7 * a)')} AS level FROM l")
 def exp_smoothing(spark, d):
-    return forecast.exp_smoothing(typed(spark, d)).withColumn("level", C.r(F.col("level")))
+    return stretches.level(typed(spark, d)).withColumn("level", C.r(F.col("level")))
 
 
 @query(f"WITH {P_SQL} SELECT {KEY_SQL}, arg_max(value, (ts, event_id)) AS last FROM p GROUP BY ALL")
