@@ -230,9 +230,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal:
     table = F.broadcast(bench) if size <= BROADCAST_BYTES else bench
     some = F.broadcast(bench.where("first").select("hash", "item")) if size <= BROADCAST_BYTES else bench.where("first").select("hash", "item")
     candidates = hits.select("doc_id", "content", "hash").distinct().join(some, "hash").select("doc_id", "content", "item").distinct()
-    asked = candidates.join(table, "item")
+    asked = candidates.join(table.select("item", "hash").distinct(), "item")
     same = (F.col("h.hash") == F.col("a.hash")) & F.col("h.doc_id").eqNullSafe(F.col("a.doc_id")) & F.col("h.content").eqNullSafe(F.col("a.content"))
-    pairs = asked.alias("a").join(hits.alias("h"), same).select("a.*", "h.word", "h.doc_slots")
+    pairs = asked.alias("a").join(hits.alias("h"), same).select("a.*", "h.word", "h.doc_slots").join(table, ["item", "hash"])
     values = F.filter(F.arrays_zip(F.col("slots").alias("item"), F.col("doc_slots").alias("doc")), lambda x: x.item != 0)
     keys = ["doc_id", "content", "item_id", "item"]
     columns = [*keys, "at", "word", "size", "windows", "exact_windows", "whole", "opened", "template", "exact", "rare", "rares"]
