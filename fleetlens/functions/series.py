@@ -4,11 +4,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
+from fleetlens.functions import decompose as D
+
 HORIZONS = {"1h": 1, "6h": 6, "24h": 24, "7d": 168, "30d": 720}
 DAY = 24
 BOOTSTRAPS, SEED, Z = 200, 42, 1.28
 LEAST_TRAIN, LEAST_HOLDOUT, MOST_HOLDOUT, HOLDOUT = 8, 3, 14, 0.2
 FOLDS, TIE, FLOOR, SEASONAL_GATE = 4, 0.02, 0.01, 0.3
+LONG = 72
 
 
 def line(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -151,6 +154,19 @@ def croston(x, y, at, alpha=0.1):
     return Guess(np.full(len(at), rate), float(np.std(y - rate)))
 
 
+def trend(x, y, at):
+    """T-12: a line along the decomposed trend (T-3) of hourly means, for long series."""
+    if len(y) < LONG:
+        return None
+    parts = D.decompose(D.hourly(x, y), DAY)
+    if parts is None:
+        return None
+    slow, _, rest = parts
+    own = np.linspace(x[0], x[-1], len(slow))
+    mid, low, high = bootstrap_slope(own, slow)
+    return Guess(slow[-1] + mid * (at - x[-1]), float(np.std(rest)), (low, high, float(slow[-1]), x[-1]))
+
+
 def seasonal_naive(x, y, at):
     if len(y) < 2 * DAY:
         return None
@@ -158,9 +174,8 @@ def seasonal_naive(x, y, at):
     return Guess(point, band=(np.minimum(low, high), np.maximum(low, high)))
 
 
-#: The simplest first; among near-equals the first wins. A decomposed trend (T-3) would stand before seasonal_naive where
-#: a decomposition library is present.
-CANDIDATES = {"naive_persistence": naive, "moving_average": moving_average, "croston": croston, "linear_regression": regression, "theta": theta, "ets_trend": holt, "seasonal_naive": seasonal_naive}
+#: The simplest first; among near-equals the first wins.
+CANDIDATES = {"naive_persistence": naive, "moving_average": moving_average, "croston": croston, "linear_regression": regression, "theta": theta, "ets_trend": holt, "trend": trend, "seasonal_naive": seasonal_naive}
 
 
 def band(guess: Guess, y: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
