@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import columns as C
+from fleetlens.operators.chunks import token_chunks  # noqa: F401  the digests' chunks, beside their other operators
 from fleetlens.sources.shared import cut
 
 
@@ -79,27 +80,6 @@ def digest_line(rows: DataFrame) -> DataFrame:
     return rows.withColumn("digest", text).withColumn("tokens", F.greatest(F.lit(1), F.floor(F.length(text) / 4)).cast("long"))
 
 
-def token_chunks(rows: DataFrame, budget: int = 2000) -> DataFrame:
-    """L-2: chunk numbers per project so that a chunk's tokens stay in the budget; a category that fits is kept whole.
-    Greedy in a fixed order, so one project's digests (tokens only, no texts) are one group."""
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["category", "rank", "resource_id", "feature"]).reset_index(drop=True)
-        chunk, used, out = 0, 0, []
-        for _, part in pdf.groupby("category", sort=True):
-            whole = int(part["tokens"].sum())
-            if used and whole <= budget and used + whole > budget:
-                chunk, used = chunk + 1, 0
-            for n in part["tokens"]:
-                if used and used + n > budget:
-                    chunk, used = chunk + 1, 0
-                used += int(n)
-                out.append(chunk)
-        return pdf.assign(chunk=out)[["project", "category", "resource_id", "feature", "tokens", "chunk"]]
-
-    return rows.select("project", "category", "resource_id", "feature", "tokens", "rank").groupBy("project").applyInPandas(pack, "project string, category string, resource_id string, feature string, tokens long, chunk int")
-
-
 def summarise(chunks: DataFrame, call=None) -> DataFrame:
     """L-3 to L-5: a text per project from an injected callable (project, lines) -> text; without one, a fixed summary.
     A failing call gives an error row, not a failed job. `chunks` has project, chunk and digest."""

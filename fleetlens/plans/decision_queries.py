@@ -300,10 +300,22 @@ def explanations(spark, d):
     return predictions(spark, d).select("prediction_id", text.alias("narrative"))
 
 
-@query()
+DIGEST_SQL = f"""{PRED_SQL}, dg AS (SELECT project, category, resource_id, feature, CAST({sql_map(SEV, 'severity')} AS INT) AS rank, greatest(1, length(resource_id || ' | ' || category || ' | risk ' || printf('%.1f', round(risk + 3.7e-8, 1)) || ' | ' || severity || ' | ' || printf('%.2f', value)) // 4) AS tokens FROM pr)"""
+
+
+def digests(spark, d):
+    rows = predictions(spark, d).withColumn("risk", C.r(F.col("risk"), 1))
+    return serve.digest_line(rows).withColumn("rank", C.literal_map(SEV)[F.col("severity")].cast("int"))
+
+
+@query(f"""WITH RECURSIVE {DIGEST_SQL}, od AS (SELECT *, min(rank) OVER c AS least, CAST(sum(tokens) OVER c AS BIGINT) AS whole FROM dg WINDOW c AS (PARTITION BY project, category)),
+nb AS MATERIALIZED (SELECT *, row_number() OVER o AS k, category IS DISTINCT FROM lag(category) OVER o AS fresh FROM od WINDOW o AS (PARTITION BY project ORDER BY least, category, rank, resource_id, feature, tokens)),
+wk AS (SELECT project, k, tokens AS used, 0 AS chunk FROM nb WHERE k = 1 UNION ALL SELECT project, k, CASE WHEN ends THEN tokens ELSE used + tokens END, chunk + CAST(ends AS INT)
+ FROM (SELECT n.project, n.k, n.tokens, w.used, w.chunk, w.used + n.tokens > 400 OR (n.fresh AND w.used + n.whole > 400) AS ends FROM wk w JOIN nb n ON n.project = w.project AND n.k = w.k + 1))
+SELECT project, category, resource_id, feature, tokens, chunk FROM nb JOIN wk USING (project, k)""")
 def digest_chunks(spark, d):
-    rows = serve.digest_line(predictions(spark, d)).withColumn("rank", C.literal_map(SEV)[F.col("severity")].cast("int"))
-    return serve.token_chunks(rows, 400)
+    """L-2."""
+    return serve.token_chunks(digests(spark, d), 400)
 
 
 @query()
