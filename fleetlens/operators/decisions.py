@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions import columns as C
 from fleetlens.functions import vocabulary as V
-from fleetlens.operators import serve
+from fleetlens.operators import intervals, serve
 
 #: Fixed values: (category, feature, operator, limit, points) of weak risk labels; 50 points make a label.
 RISK_POINTS = [
@@ -50,7 +50,8 @@ def alert_gate(predictions: DataFrame) -> DataFrame:
 def suppress(predictions: DataFrame, windows: DataFrame) -> DataFrame:
     """J-6, D-7: predictions in a maintenance window (resource or *, category or *, tags where the window names some, time)
     become INFO without a trigger; of several windows the first in order is named. Windows for one resource are found by an
-    equi-join on it, wildcard ones by one on the days they cover. A null resource or category is a wildcard."""
+    equi-join on it, wildcard ones by the cells of time they cover (intervals.held). A null resource or category is a
+    wildcard."""
     every = lambda c: F.coalesce(F.col(c), F.lit("*"))
     tagged = "tags" in windows.columns and "tags" in predictions.columns
     inside = F.col("ts").between(F.col("starts_at"), F.col("ends_at")) & ((F.col("w_category") == "*") | (F.col("w_category") == F.col("category")))
@@ -59,8 +60,7 @@ def suppress(predictions: DataFrame, windows: DataFrame) -> DataFrame:
     w = windows.select("window_id", every("resource_id").alias("w_resource"), every("category").alias("w_category"), "starts_at", "ends_at", "reason", *[F.col("tags").alias("w_tags")] * tagged)
     keys = predictions.select("prediction_id", "resource_id", "category", "ts", *["tags"] * tagged)
     named = keys.join(w.where("w_resource <> '*'"), F.col("resource_id") == F.col("w_resource")).where(inside)
-    days = w.where("w_resource = '*'").withColumn("day", F.explode(F.sequence(F.to_date("starts_at"), F.to_date("ends_at"))))
-    wild = keys.withColumn("day", F.to_date("ts")).join(days, "day").where(inside)
+    wild = intervals.held(keys, w.where("w_resource = '*'"), "ts", "starts_at", "ends_at", F.col("prediction_id")).where(inside)
     hit = named.select("prediction_id", "window_id", "reason").union(wild.select("prediction_id", "window_id", "reason")).groupBy("prediction_id").agg(F.min_by("reason", "window_id").alias("reason"))
     out = predictions.join(hit, "prediction_id", "left").withColumn("suppressed", F.col("reason").isNotNull())
     return out.withColumn("severity", F.when(F.col("suppressed"), "INFO").otherwise(F.col("severity"))).withColumn("trigger", F.col("trigger") & ~F.col("suppressed"))
