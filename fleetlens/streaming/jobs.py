@@ -1,4 +1,4 @@
-"""Streaming jobs: enrichment, latest state, deduplication, alert changes and rollups on Structured Streaming."""
+"""Streaming jobs: enrichment, latest state without event time, deduplication and rollups on Structured Streaming."""
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,40 +21,25 @@ def enrich(stream: DataFrame, inventory: DataFrame) -> DataFrame:
 
 def latest_state(stream: DataFrame, keys: list[str], version: str, fields: dict[str, str]) -> DataFrame:
     """R-3: newest version of each key; a version replaces another if either is null or it is newer. keys are strings;
-    fields: value columns and their types. State is one row per key."""
+    fields: value columns and their types. State is one row per key ever seen; where rows have a time, timed.latest_state
+    forgets quiet keys."""
     names = [version, *fields]
     types = ", ".join(f"{n} {t}" for n, t in ({version: "long"} | fields).items())
 
     def newest(key, batches, state: GroupState):
         held = list(state.get) if state.exists else None
         for pdf in batches:
-            for row in pdf.sort_values(version, na_position="last")[names].itertuples(index=False, name=None):
-                value = [None if pd.isna(x) else x for x in row]
-                if held is None or value[0] is None or held[0] is None or value[0] > held[0]:
-                    held = value
+            unversioned = pdf[pdf[version].isna()]
+            last = unversioned.iloc[-1] if len(unversioned) else pdf.loc[pdf[version].idxmax()]
+            value = [None if pd.isna(x) else x for x in last[names]]
+            if held is None or value[0] is None or held[0] is None or value[0] > held[0]:
+                held = value
         state.update(tuple(held))
         yield pd.DataFrame([[*key, *held]], columns=[*keys, *names])
 
     return stream.groupBy(*keys).applyInPandasWithState(newest, ", ".join(f"{k} string" for k in keys) + ", " + types, types, "update", GroupStateTimeout.NoTimeout)
 
 
-def alert_changes(stream: DataFrame) -> DataFrame:
-    """R-10, W-11: one row whenever a (resource, category)'s severity differs from the last one seen."""
-
-    def changed(key, batches, state: GroupState):
-        last = state.get[0] if state.exists else None
-        out = []
-        for pdf in batches:
-            for ts, severity in pdf.sort_values("ts")[["ts", "severity"]].itertuples(index=False):
-                if severity != last:
-                    out.append((*key, ts, severity, last))
-                    last = severity
-        state.update((last,))
-        yield pd.DataFrame(out, columns=["resource_id", "category", "ts", "severity", "previous"])
-
-    return stream.groupBy("resource_id", "category").applyInPandasWithState(changed, "resource_id string, category string, ts timestamp, severity string, previous string", "last string", "append", GroupStateTimeout.NoTimeout)
-
-
 def hourly_rollup(stream: DataFrame, keys: list[str], time: str = "ts", lateness: str = "1 hour") -> DataFrame:
     """Tumbling hourly counts and sums behind a watermark."""
     return stream.withWatermark(time, lateness).groupBy(F.window(time, "1 hour"), *keys).agg(F.count("*").alias("n"), F.sum("value").alias("total"))

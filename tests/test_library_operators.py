@@ -82,15 +82,6 @@ def test_payload_by_category(spark):
     assert got == [{"memory_class": "WARNING", "oom_probability": "0.5"}, {"burst_risk": "0.5"}, {}]
 
 
-def test_alert_changes_stream(spark, tmp_path):
-    rows = [("r", "c", T0 + dt.timedelta(hours=h), s) for h, s in enumerate(["INFO", "INFO", "HIGH", "HIGH", "INFO"])]
-    spark.createDataFrame(rows, "resource_id string, category string, ts timestamp, severity string").write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema("resource_id string, category string, ts timestamp, severity string").parquet(str(tmp_path / "in"))
-    jobs.run_once(jobs.alert_changes(stream), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
-    got = sorted((r.ts, r.severity, r.previous) for r in spark.read.parquet(str(tmp_path / "out")).collect())
-    assert [(s, p) for _, s, p in got] == [("INFO", None), ("HIGH", "INFO"), ("INFO", "HIGH")]
-
-
 def test_streams_roll_up_and_fan_out(spark, tmp_path):
     rows = [("a", T0 + dt.timedelta(minutes=20 * k), float(k)) for k in range(12)]
     spark.createDataFrame(rows, "k string, ts timestamp, value double").write.parquet(str(tmp_path / "in"))
