@@ -14,15 +14,16 @@ def magnitude(v: Column) -> Column:
     return F.when(v == 0, F.lit(0).cast("long")).otherwise(F.when(F.isnan(v) | (v > 0), size).otherwise(-size).cast("long"))
 
 
-def quantiles(rows: DataFrame, keys: list[str], value: str, wanted: dict[str, Column | float]) -> DataFrame:
+def quantiles(rows: DataFrame, keys: list[str], value: str, wanted: dict[str, Column | float], weight: str | None = None) -> DataFrame:
     """keys, n (values that are not null) and a column for each wanted quantile (0 to 1; an expression may use n), exact
     and linear between neighbours.
 
     Equal values are counted first. Counts of magnitudes then say in which magnitude a quantile's neighbours lie, and only
     the values of those are ranked, so no task holds a pool. Null keys are a pool of their own; a pool without values has
-    no row.
+    no row. weight: a column that says how often a row counts.
     """
-    counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_c")).withColumn("_m", magnitude(F.col("_v")))
+    often = F.sum(weight) if weight else F.count("*")
+    counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(often.alias("_c")).withColumn("_m", magnitude(F.col("_v")))
     pool = Window.partitionBy(*keys)
     totals = counted.groupBy(*keys, "_m").agg(F.sum("_c").alias("_t"))
     ranked = totals.select(*keys, "_m", F.sum("_t").over(pool).alias("n"), (F.sum("_t").over(pool.orderBy("_m")) - F.col("_t")).alias("_before"), "_t")
