@@ -6,6 +6,7 @@ from pyspark.sql.types import BooleanType, NumericType
 
 from fleetlens.functions import columns as C
 from fleetlens.operators import decisions, ingest, quality, serve
+from fleetlens.sources.shared import cut
 
 
 def first_of(docs: DataFrame, *names: str) -> Column:
@@ -99,6 +100,19 @@ def save_profiles(profiles: DataFrame, path: str) -> None:
     profiles.write.mode("overwrite").partitionBy("category").parquet(path)
 
 
+def upsert_profiles(spark: SparkSession, path: str, new: DataFrame, keys: tuple[str, ...] = ("rtype", "category", "feature")) -> None:
+    """K-4: new profiles replace stored ones of the same key, the others stay; only folders of categories that new profiles
+    have are written. A key that comes twice keeps the row with more values (n), then the greater row. A repeat changes
+    nothing. The folder must have been begun by save_profiles."""
+    rest = [c for c in new.columns if c not in keys]
+    once = cut(new.groupBy(*keys).agg(F.max(F.struct("n", *[c for c in rest if c != "n"])).alias("x")).select(*keys, "x.*"))
+    touched = spark.read.parquet(path).join(F.broadcast(once.select("category").distinct()), "category", "left_semi")  # a handful of categories
+    alike = [F.col(f"o.{c}").eqNullSafe(F.col(f"w.{c}")) for c in keys]
+    kept = touched.alias("o").join(once.alias("w"), alike, "left_anti")
+    merged = cut(kept.unionByName(once, allowMissingColumns=True))
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("category").parquet(path)
+
+
 def load_profiles(spark: SparkSession, path: str, category: str, rtype: str | None = None) -> DataFrame:
     """S-12: a category's profiles, or those of one of its types."""
     found = spark.read.parquet(path).where(F.col("category") == category)

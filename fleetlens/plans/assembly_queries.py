@@ -135,6 +135,21 @@ def stored_profiles(spark, d):
     return assemble.load_profiles(spark, path, "Compute").select("rtype", "feature", "n", C.r(F.col("mean")).alias("mean"), C.r(F.col("p95")).alias("p95"))
 
 
+HALF = "rtype, category, feature, count(value) AS n, avg(value) AS mean FROM p"
+
+
+@query(f"""WITH {P_SQL}, w AS (SELECT {HALF} WHERE category = 'Compute' GROUP BY ALL HAVING count(value) >= 5), o AS (SELECT {HALF} WHERE ts < TIMESTAMP '2024-01-15' GROUP BY ALL HAVING count(value) >= 5)
+SELECT rtype, category, feature, n, {r6('mean')} AS mean FROM (SELECT * FROM w UNION ALL SELECT * FROM o ANTI JOIN w USING (rtype, category, feature))""")
+def upserted_profiles(spark, d):
+    """K-4: profiles of the first half, then those of one category anew, twice."""
+    path, rows = new_path(spark, "profiles"), typed(spark, d)
+    assemble.save_profiles(profiles.profile_stats(rows.where("ts < timestamp_ntz'2024-01-15'")), path)
+    new = profiles.profile_stats(rows.where("category = 'Compute'"))
+    assemble.upsert_profiles(spark, path, new)
+    assemble.upsert_profiles(spark, path, new)
+    return spark.read.parquet(path).select("rtype", "category", "feature", "n", C.r(F.col("mean")).alias("mean"))
+
+
 def told(spark, d):
     """Readings as explanations: newest of each resource before and after the fifteenth; every fifth has failed."""
     failed = F.col("event_id") % 5 == 0
