@@ -18,8 +18,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest doc_id of each group of near copies (five-word shingles, similarity 0.8 or more);
-    rows that share that id all stay. So rows with a null doc_id all stay if some group has no other id, else they all go."""
+    """Keeps the document of the smallest doc_id of each group of near copies (five-word shingles, similarity 0.8 or more),
+    found by SimHash as op9 has it, beyond its radius by MinHash too, and compared exactly; rows that share that id all stay. So rows with a null doc_id all stay if some group has no other id, else they all go."""
     return near_copies.keep_first(docs)
 
 

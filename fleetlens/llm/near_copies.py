@@ -1,7 +1,10 @@
 """Near copies: five-word shingles shared to 0.8 or more (Jaccard), for the pipeline.
 
-MinHash finds candidates: BANDS bands of ROWS minima each, so that a pair at 0.8 shares no band with a chance of
-(1 - 0.8**4)**24 = 3.2e-6. Candidates are then compared by their whole shingle sets. Texts with equal words are one class
+Candidates come from op9's method with this stage's shingles: SimHash fingerprints linked at RADIUS bits or fewer by covering
+masks, forests and star contraction; each component is a bucket. Pairs at 0.8 differ in about 10 of 64 bits, so those
+further apart than RADIUS are found by MinHash besides: BANDS bands of ROWS minima each, so that a pair at 0.8 shares no
+band with a chance of (1 - 0.8**4)**24 = 3.2e-6. Candidates of both are then compared by their whole shingle sets, because a
+text that repeats one shingle very often has that shingle's fingerprint. Texts with equal words are one class
 and cost one row. A bucket up to a size is searched by a breadth-first walk that gives a spanning forest, never all pairs.
 The classes of larger buckets are joined by their rarest shingles instead (prefix filtering, which loses no pair): heavily
 edited copies of one text then meet few others, and what still meets many is linked through its most typical member.
@@ -13,10 +16,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetlens.llm import simhash
 from fleetlens.llm.common import Rolling, blocks, components, cut, mix, slices, utf8
 
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 24, 4
+RADIUS = simhash.RADIUS
 #: Classes and shingles that a task walks at once; larger buckets are dealt out.
 BUCKET, WEIGHT = 256, 4_000_000
 _B = np.arange(256)
@@ -76,7 +81,10 @@ def _sketch(batches):
         ends = np.zeros(n + 1, np.int32)
         ends[has + 1] = BANDS
         lists = pa.ListArray.from_arrays(pa.array(np.cumsum(ends, dtype=np.int32)), pa.array(bands.reshape(-1).view(np.int64)))
-        yield pa.RecordBatch.from_arrays([ids, pa.array(_keys(words, starts)), pa.array(np.bincount(rows, minlength=n)), lists], ["doc_id", "key", "n", "bands"])
+        fp = np.zeros(n, np.uint64)
+        fp[has] = simhash.votes(hashes, at)
+        columns = [ids, pa.array(_keys(words, starts)), pa.array(np.bincount(rows, minlength=n)), lists, pa.array(fp.view(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "bands", "fp"])
 
 
 def _sets(batches):
@@ -174,16 +182,20 @@ def _dealt(hot: DataFrame, sets: DataFrame, known_edges: DataFrame, bucket: int,
     return edges.union(_walked(members, sets))
 
 
-def near_copies(docs: DataFrame, bucket: int = BUCKET, weight: int = WEIGHT) -> DataFrame:
+def near_copies(docs: DataFrame, bucket: int = BUCKET, weight: int = WEIGHT, radius: int = RADIUS, bands: int = BANDS) -> DataFrame:
     """doc_id, key (of the text's words) and component_id, the smallest doc_id reachable through texts at 0.8 or more.
 
+    radius: bits of SimHash fingerprints that may differ; bands: MinHash bands for pairs beyond it (0: SimHash alone).
     Null and empty texts are one class; rows of one doc_id each keep a row; a null doc_id is never a component's id unless
     all its ids are null; an empty table gives no rows; other columns are not read.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = cut(texts.mapInArrow(_sketch, "doc_id long, key long, n long, bands array<long>"))
-    classes = rows.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"), F.max("bands").alias("bands"))
-    keyed = cut(classes.select("key", "n", F.explode("bands").alias("band")))
+    rows = cut(texts.mapInArrow(_sketch, "doc_id long, key long, n long, bands array<long>, fp long"))
+    classes = rows.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"), F.max("bands").alias("bands"), F.min("fp").alias("fp"))
+    worded = rows.where("n > 0").select("key", "n", "fp").distinct()
+    near = components(simhash.links(cut(worded.select("fp").distinct()), radius)).withColumnRenamed("node", "fp")
+    linked = worded.join(near, "fp", "left").select("key", "n", F.xxhash64(F.lit("simhash"), F.coalesce("root", "fp")).alias("band"))
+    keyed = cut(classes.select("key", "n", F.explode(F.slice("bands", 1, bands)).alias("band")).union(linked))
     large = cut(_large(keyed, "band", bucket, weight))
     small = cut(_listed(keyed.join(large, "band", "left_anti"), "band"))
     hot = cut(keyed.join(large, "band", "left_semi").select("key").distinct())

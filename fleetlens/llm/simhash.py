@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import components, cut
+from fleetlens.llm.common import blocks, components, cut
 
 RADIUS = 3
 #: Larger buckets are dealt out by blanked keys instead of being walked in one task.
@@ -54,6 +54,24 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int(np.packbits(votes * 2 > n, bitorder="little").view("<u8")[0])
 
 
+def _bits(hashes: np.ndarray) -> np.ndarray:
+    return np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+
+
+def votes(hashes: np.ndarray, at: np.ndarray, part: int = 1 << 15) -> np.ndarray:
+    """The fingerprint of each text from its shingles' hashes, those of a text from at[i] on (one at least): a bit is set if
+    more than half of them have it. `part` hashes are spread to bits at once."""
+    out, edges = np.zeros(len(at), np.uint64), np.append(at, len(hashes))
+    for a, b in blocks(edges, part):
+        first, last = int(edges[a]), int(edges[b])
+        if b - a == 1:
+            count = sum(_bits(hashes[k : min(k + part, last)]).sum(0, dtype=np.int64) for k in range(first, last, part))[None]
+        else:
+            count = np.add.reduceat(_bits(hashes[first:last]), edges[a:b] - first, axis=0, dtype=np.int64)
+        out[a:b] = np.packbits(2 * count > np.diff(edges[a : b + 1])[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
+    return out
+
+
 def _fingerprints(batches):
     for batch in batches:
         got = [signed(fingerprint((t.as_py() or "").encode())) for t in batch.column(1)]
