@@ -21,6 +21,8 @@ import numpy as np
 CHUNK = 1 << 17
 #: A queue over a large alphabet has about so many keys, each for a range of symbols.
 RANGES = 64
+#: Entries of a range that bring others into it, over more steps than this, are worked through piece by piece.
+DEPTH = 64
 
 
 def scratch(n: int, dtype, budget: int) -> np.ndarray:
@@ -173,6 +175,47 @@ class _Ordered:
             self.keys, self.pos = self.keys[n:], self.pos[n:]
 
 
+def within(code: np.ndarray, place: np.ndarray, end: int, before, depth: int = DEPTH):
+    """A range's entries (in the order of their codes) with all that they bring into it, in scan order: codes, places, and
+    the keys and places of what goes on to later ranges. None if it takes more than `depth` steps.
+
+    What is new under a code comes after what stood there, in the order of what brought it. So ranks are right for pairs of
+    which one stood there, then for pairs of which one was brought by such an entry, and so on: a sort for each step, or
+    until nothing moves.
+    """
+    codes, places, sources, on, base = [code], [place], [np.full(len(code), -1)], [], 0
+    while True:
+        ok, pred, keys = before(places[-1])
+        inside = keys <= end
+        on.append((base + ok[~inside], keys[~inside], pred[~inside]))
+        if not inside.any():
+            break
+        if len(codes) > depth:
+            return None
+        base += len(places[-1])
+        sources.append(base - len(places[-1]) + ok[inside])
+        codes.append(keys[inside] * 2)
+        places.append(pred[inside])
+    from_, keys, preds = (np.concatenate([x[k] for x in on]) for k in range(3))
+    if len(codes) > 1:
+        code, place, source = np.concatenate(codes), np.concatenate(places), np.concatenate(sources)
+        n = len(code)
+        new = np.flatnonzero(source >= 0)
+        key, among, rank = code * 2, np.arange(n), np.zeros(n, np.int64)
+        key[new] += 1
+        for _ in range(len(codes)):
+            order, last = np.argsort(key * n + among, kind="stable"), rank
+            rank = np.empty(n, np.int64)
+            rank[order] = np.arange(n)
+            if np.array_equal(rank, last):
+                break
+            among[new] = rank[source[new]]
+        code, place, from_ = code[order], place[order], rank[from_]
+        order = np.argsort(from_, kind="stable")
+        keys, preds = keys[order], preds[order]
+    return code, place, keys, preds
+
+
 class Level:
     """Order of the suffixes of a text of whole numbers, whose last symbol is 0 and stands nowhere else."""
 
@@ -258,6 +301,13 @@ class Level:
             place = np.concatenate([entries[1], *(x for _, x in own)])
             order = np.argsort(code, kind="stable")
             code, place, at, wide = code[order], place[order], 0, 1024
+            if (all_ := within(code, place, end, before)) is not None:
+                c, p, keys, pred = all_
+                out = p[c % 2 == 0]
+                if len(out):
+                    yield out
+                push(keys, pred)
+                continue
             new_code, new_place = np.zeros(0, np.int64), np.zeros(0, np.int64)
             while at < len(code) or len(new_code):
                 stop = min(at + wide, len(code))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from test_operators import brute_repeats
 
-from fleetlens.llm import decontaminate, language_id, license_scan, line_quality, quality_classifier, suffix_dedup
+from fleetlens.llm import decontaminate, induced_sort, language_id, license_scan, line_quality, quality_classifier, suffix_dedup
 
 RNG = random.Random(11)
 
@@ -84,3 +84,22 @@ def test_word_vectors_see_all_documents(spark):
     a, b, c, d = ids
     want = index[a] + index[b] + index[c] + index[d] + index[b]
     assert np.allclose(got[a], want / np.linalg.norm(want), atol=1e-6)
+
+
+def test_a_range_of_an_induced_sort_is_worked_through_at_once(monkeypatch):
+    """Over many names, a scan takes a chunk or so for each of its ranges, in the order that piecewise work gives."""
+    rng = np.random.default_rng(1)
+    words = [rng.integers(1, 5000, 8) for _ in range(300)]
+    text = np.concatenate([*(words[k] for k in rng.integers(0, 300, 5000)), np.arange(900, 700, -2), np.full(40, 7), np.zeros(1, np.int64)])
+
+    def chunks():
+        level = induced_sort.Level(text, 1 << 21, 1 << 10)
+        return [(smaller, pos.tolist()) for smaller, pos in level.both_scans(level.sorted_lms())]
+
+    got = chunks()
+    assert len(got) <= 3 * induced_sort.RANGES
+    monkeypatch.setattr(induced_sort, "within", lambda *a: None)
+    pieces = chunks()
+    assert len(pieces) > 3 * induced_sort.RANGES
+    for kind in (False, True):
+        assert [p for smaller, pos in got if smaller == kind for p in pos] == [p for smaller, pos in pieces if smaller == kind for p in pos]
