@@ -11,6 +11,7 @@ DAY = 24
 BOOTSTRAPS, SEED, Z = 200, 42, 1.28
 LEAST_TRAIN, LEAST_HOLDOUT, MOST_HOLDOUT, HOLDOUT = 8, 3, 14, 0.2
 FOLDS, TIE, FLOOR, SEASONAL_GATE = 4, 0.02, 0.01, 0.3
+FALLBACK = "naive_persistence_fallback"
 LONG = 72
 
 
@@ -270,6 +271,8 @@ def choose(x: np.ndarray, y: np.ndarray, at: np.ndarray, season: int = DAY) -> C
     best = min(errors.values())
     method = next(m for m in CANDIDATES if errors.get(m, np.inf) <= max(best * (1 + TIE), best + 1e-9))
     guess = CANDIDATES[method](x, y, at)
+    if guess is None:  # it suits the folds, not the whole
+        method, guess = FALLBACK, naive(x, y, at)
     base = errors.get("naive_persistence", 0.0)
     skill = float(np.clip(1 - best / base, 0, 1)) if base > 1e-12 else None
     return Choice(method, guess.point, *band(guess, y, at), skill, trimmed, len(starts), errors)

@@ -1,11 +1,16 @@
-"""Forecast operators: native columns where SQL can say it, one grouped pandas function for the series mathematics."""
+"""Forecast operators: native columns where SQL can say it, series mathematics in Arrow batches of many whole series."""
+
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions import columns as C
+from fleetlens.functions import many as M
 from fleetlens.functions import series as S
 from fleetlens.functions import vocabulary as V
 
@@ -118,45 +123,127 @@ def confidence(r2: Column, reliability: Column, method: Column, mae: Column, rms
     return F.least(F.lit(100.0), F.greatest(F.lit(0.0), score))
 
 
-# ---------------------------------------------------------------- one grouped function for each series
+# ---------------------------------------------------------------- whole series, many at once
+
+#: So many readings are gathered before their series are worked through.
+GATHER = 1 << 17
+
+
+def starts_of(table: pa.Table, keys: list[str]) -> np.ndarray:
+    """Where the series of a sorted table start; a null key equals a null."""
+    new = np.zeros(table.num_rows, bool)
+    new[:1] = True
+    for key in keys:
+        a, b = table[key][1:], table[key][:-1]
+        new[1:] |= pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.xor(pc.is_null(a), pc.is_null(b))).to_numpy()
+    return np.flatnonzero(new)
+
+
+def whole_series(batches: Iterator[pa.RecordBatch], keys: list[str], gather: int = GATHER) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole series, with where each starts, from batches sorted by keys. What may go on in the next batch is held
+    back; a series longer than `gather` is looked at again whenever what is held has doubled."""
+    held, n, enough = [], 0, gather
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n < enough:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        starts = starts_of(table, keys)
+        if len(starts) > 1:
+            yield table[: starts[-1]], starts[:-1]
+            held, n = table[starts[-1] :].to_batches(), n - int(starts[-1])
+        enough = max(gather, 2 * n)
+    if n:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table, starts_of(table, keys)
+
+
+def of_one_length(table: pa.Table, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
+    """(first rows, x, y, together): series of one length as rows of x (hours) and y; those that functions/many.py leaves to
+    functions/series.py come alone, as one row."""
+    t, y = table["ts"].cast(pa.int64()).fill_null(np.iinfo(np.int64).min).to_numpy(), table["value"].to_numpy().astype(float)
+    size = np.diff(np.append(starts, len(y)))
+    odd = (size > M.MOST) | (np.add.reduceat(~(np.abs(y) < M.FAR) | (t == np.iinfo(np.int64).min), starts) > 0)
+    for n in np.unique(size[~odd]):
+        first = starts[(size == n) & ~odd]
+        at = first[:, None] + np.arange(n)
+        yield first, (t[at] - t[first, None]) / 3.6e9, y[at], True
+    for first, n in zip(starts[odd], size[odd]):
+        own = t[first : first + n].view("datetime64[us]")
+        yield np.array([first]), ((own - own[0]).astype(np.int64) / 3.6e9)[None], y[None, first : first + n], False
+
+
+def by_series(rows: DataFrame, keys: list[str], run: Callable, schema: str) -> DataFrame:
+    """run over all series of rows (keys, ts, event_id, value and what else it reads): it is given a table of sorted readings,
+    first rows, x, y and together (see of_one_length), and yields columns as the schema has them, the keys aside, each with the
+    rows that the keys are taken from. Keys come out as strings. A task holds GATHER readings, or one series that is longer."""
+    fields = [f.split() for f in schema.split(", ")]
+    kinds = {"string": pa.string(), "double": pa.float64(), "long": pa.int64(), "int": pa.int32()}
+
+    def batches(got):
+        for table, starts in whole_series(got, keys):
+            for group in of_one_length(table, starts):
+                for at, columns in run(table, *group):
+                    own = [table[k].take(pa.array(at)).combine_chunks() for k in keys] + [pa.array(columns[n], kinds[kind], from_pandas=True) for n, kind in fields]
+                    yield pa.RecordBatch.from_arrays([c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in own], [*keys, *[n for n, _ in fields]])
+
+    dealt = rows.withColumns({k: F.col(k).cast("string") for k in keys}).repartition(*keys).sortWithinPartitions(*keys, F.asc_nulls_last("ts"), F.asc_nulls_last("event_id"))
+    return dealt.mapInArrow(batches, ", ".join(f"{k} string" for k in keys) + ", " + schema)
+
 
 FORECAST_SCHEMA = (
-    "resource_id string, category string, feature string, n long, current double, method string, trend string, r2 double, reliability string, tier string, note string, "
+    "n long, current double, method string, trend string, r2 double, reliability string, tier string, note string, "
     + ", ".join(f"f_{h} double, f_{h}_lower double, f_{h}_upper double" for h in S.HORIZONS)
     + ", backtest_n int, backtest_mae double, backtest_mase double, backtest_coverage double, backtest_quality double, backtest_method string, trimmed int"
 )
 
 
+def _live_columns(live: dict) -> dict:
+    out = {k: live[k] for k in ("method", "trend", "r2", "reliability", "tier", "note")}
+    for k, h in enumerate(S.HORIZONS):
+        out |= {f"f_{h}{end}": np.round(live[side][:, k], 3) for end, side in (("", "point"), ("_lower", "lower"), ("_upper", "upper"))}
+    return out
+
+
+def _tested(out: dict, test: dict | None, m: int) -> dict:
+    """Columns with those of the back-test, whose quality becomes r2 and the reliability; nulls where there is none."""
+    names = {"n": "holdout_n", "mae": "mae", "mase": "mase", "coverage": "coverage_pct", "quality": "quality", "method": "method"}
+    if test is None:
+        return out | {f"backtest_{k}": [None] * m for k in names} | {"trimmed": [None] * m}
+    good = test["quality"]
+    trust = np.where((good >= 80) & ~test["low_variance"], "high", np.where(good >= 50, "moderate", "low"))
+    return out | {"reliability": trust, "r2": good / 100, "trimmed": test["trimmed"]} | {f"backtest_{k}": test[v] for k, v in names.items()}
+
+
 def _forecast(bursty: tuple[str, ...]):
-    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ts", "event_id"])
-        t = pdf["ts"].to_numpy("datetime64[us]")
-        x, y = (t - t[0]).astype(np.int64) / 3.6e9, pdf["value"].to_numpy(float)
-        one = pdf.iloc[0]
-        prior = S.Prior(None if pd.isna(one["prior"]) else float(one["prior"]), 0 if pd.isna(one["pool"]) else int(one["pool"]), not str(one["rtype"]).startswith("other_"))
-        noisy = one["feature"] in bursty
-        out = S.live(x, y, noisy, str(one["feature"]).endswith("_pct"), bool(one["mixed"]), prior)
-        test = S.backtest(x, y, noisy)
-        row = {"resource_id": one["resource_id"], "category": one["category"], "feature": one["feature"], "n": len(y), "current": float(y[-1])}
-        row |= {k: out[k] for k in ("method", "trend", "r2", "reliability", "tier", "note")}
-        for k, h in enumerate(S.HORIZONS):
-            row |= {f"f_{h}": round(out["point"][k], 3), f"f_{h}_lower": round(out["lower"][k], 3), f"f_{h}_upper": round(out["upper"][k], 3)}
-        if test:
-            good = test["quality"]
-            row["reliability"] = "high" if good >= 80 and not test["low_variance"] else "moderate" if good >= 50 else "low"
-            row |= {"r2": good / 100, "backtest_n": test["holdout_n"], "backtest_mae": test["mae"], "backtest_mase": test["mase"], "backtest_coverage": test["coverage_pct"], "backtest_quality": good, "backtest_method": test["method"], "trimmed": test["trimmed"]}
-        names = [c.split()[0] for c in FORECAST_SCHEMA.split(", ")]
-        return pd.DataFrame([{n: row.get(n) for n in names}])
-
-    return per_series
+    def run(table, first, x, y, together):
+        m, n = y.shape
+        feature, rtype, mixed, prior, pool = (np.array(table[c].take(pa.array(first)).to_pylist(), object) for c in ("feature", "rtype", "mixed", "prior", "pool"))
+        known = M.Series(
+            np.isin(feature.astype(str), bursty), np.array([str(f).endswith("_pct") for f in feature]), mixed.astype(bool), np.array([np.nan if p is None else p for p in prior], float),
+            np.array([p or 0 for p in pool], np.int64), np.array([not str(r).startswith("other_") for r in rtype]),
+        )
+        if together:
+            live, test = vars(M.live(x, y, known)), M.backtest(x, y, known.bursty)
+            if test:
+                test["holdout_n"] = np.full(m, test["holdout_n"])
+        else:
+            noisy = bool(known.bursty[0])
+            live = {k: np.array([v]) for k, v in S.live(x[0], y[0], noisy, bool(known.percent[0]), bool(known.mixed[0]), known.prior(0)).items()}
+            test = S.backtest(x[0], y[0], noisy)
+            test = test and {k: np.array([np.nan if v is None else v]) for k, v in test.items()}
+        yield first, _tested(_live_columns(live), test, m) | {"n": np.full(m, n), "current": y[:, -1]}
+
+    return run
 
 
 def forecasts(rows: DataFrame, priors: DataFrame, bursty: tuple[str, ...] = (), on: list[str] = ("rtype", "category", "feature"), mixed: DataFrame | None = None) -> DataFrame:
-    """T-22, T-23 and T-16 for every series of rows (with rtype): one row each, with five horizons and a back-test. The
-    group is one series, whose length is what one resource can report. mixed: KEYS and whether the series mixes statistics."""
+    """T-22, T-23 and T-16 for every series of rows (with rtype): one row each, with five horizons and a back-test. Series of
+    one length are worked through together. mixed: KEYS and whether the series mixes statistics."""
     joined = rows.select("resource_id", "category", "feature", "rtype", "ts", "event_id", "value").join(priors, list(on), "left")
     joined = joined.join(mixed, KEYS, "left").withColumn("mixed", C.is_true(F.col("mixed"))) if mixed is not None else joined.withColumn("mixed", F.lit(False))
-    out = joined.groupBy(*KEYS).applyInPandas(_forecast(tuple(bursty)), FORECAST_SCHEMA)
+    out = by_series(joined, KEYS, _forecast(tuple(bursty)), FORECAST_SCHEMA)
     proxies = error_proxies(rows)
     scored = out.join(proxies, KEYS, "left")
     return scored.withColumn("confidence", F.round(confidence(F.col("r2"), F.col("reliability"), F.col("method"), F.col("mae"), F.col("rmse"), F.col("mape")), 1)).drop("mae", "rmse", "mape")
@@ -165,20 +252,25 @@ def forecasts(rows: DataFrame, priors: DataFrame, bursty: tuple[str, ...] = (),
 def candidates(rows: DataFrame, names: list[str], hours: list[int], keys: list[str] = KEYS) -> DataFrame:
     """T-2, T-8 to T-12: forecasts of single candidates, long: method, hours, point, lower, upper."""
 
-    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ts", "event_id"])
-        t = pdf["ts"].to_numpy("datetime64[us]")
-        x, y = (t - t[0]).astype(np.int64) / 3.6e9, pdf["value"].to_numpy(float)
-        at, out = x[-1] + np.array(hours, float), []
+    def run(table, first, x, y, together):
+        at = x[:, -1:] + np.array(hours, float)
         for name in names:
-            guess = S.CANDIDATES[name](x, y, at)
-            if guess is not None:
-                low, high, _ = S.band(guess, y, at)
-                out += [(*pdf.iloc[0][keys], name, h, float(p), float(a), float(b)) for h, p, a, b in zip(hours, guess.point, low, high, strict=True)]
-        return pd.DataFrame(out, columns=[*keys, "method", "hours", "point", "lower", "upper"])
-
-    schema = ", ".join(f"{k} string" for k in keys) + ", method string, hours int, point double, lower double, upper double"
-    return rows.groupBy(*keys).applyInPandas(per_series, schema)
+            if together:
+                guess = M.CANDIDATES[name](x, y, at)
+                if guess is None:
+                    continue
+                there = np.ones(len(y), bool) if guess.there is None else guess.there
+                point, (low, high, _) = guess.point, M.band(guess, y, at)
+            else:
+                guess = S.CANDIDATES[name](x[0], y[0], at[0])
+                if guess is None:
+                    continue
+                there, point, (low, high, _) = np.ones(1, bool), guess.point[None], S.band(guess, y[0], at[0])
+                low, high = low[None], high[None]
+            many = int(there.sum())
+            yield np.repeat(first[there], len(hours)), {"method": [name] * (many * len(hours)), "hours": np.tile(hours, many), "point": point[there].ravel(), "lower": low[there].ravel(), "upper": high[there].ravel()}
+
+    return by_series(rows.select(*keys, "ts", "event_id", "value"), keys, run, "method string, hours int, point double, lower double, upper double")
 
 
 def breaks(rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:
