@@ -3,7 +3,8 @@
 Rows older than the watermark are not lost: they come out as rows of kind `late` and touch no state. A key from which nothing
 came for `quiet` is forgotten by a timer, so state holds what lived within that time and not all keys ever seen. Timers stand
 in event time (state's own time to live counts processing time, which a repeat of a stream can't give again). A key's rows
-come in Arrow batches; of a key, one value is held, or what hasn't been passed by the watermark. A row without a time is late.
+come in Arrow batches; of a key, one value is held, or what hasn't been passed by the watermark. Newest values are held by
+bucket, many keys in one state. A row without a time is late.
 Times before 1970 are late, as a stream's first watermark is there.
 """
 
@@ -17,6 +18,9 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STAMP = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 OUT = "kind string, at long, version long, body string, previous string"
+#: Newest values: so many states, each of all keys of a hash, as a call of Python costs more than hundreds of rows; rows of
+#: state in one message.
+BUCKETS, PIECE = 1024, 4096
 
 
 def with_rocks(spark: SparkSession) -> None:
@@ -62,32 +66,79 @@ class Timed(StatefulProcessor):
 
 
 class Newest(Timed):
-    """Holds (version, body, when last heard of). A version replaces another if either is null or it is newer; of one
-    batch, rows with a null version come last and the greatest body of equal versions counts."""
+    """Holds key, version, body and when last heard of, of all keys of a bucket. A version replaces another if either is null
+    or it is newer; of one batch, rows with a null version come last and the greatest body of equal versions counts."""
 
     def prepare(self) -> None:
-        self.held = self.handle.getValueState("held", "version long, body string, heard long")
+        self.held = self.handle.getListState("held", ", ".join(f"key_{k} string" for k in range(len(self.keys))) + ", version long, body string, heard long")
+
+    def read(self) -> dict:
+        n = len(self.keys)
+        return {tuple(r[:n]): tuple(r[n:]) for r in self.held.get()} if self.held.exists() else {}
+
+    def write(self, state: dict) -> int | None:
+        """When the first of its keys will be quiet."""
+        rows = [(*key, *value) for key, value in state.items()]
+        if not rows:
+            self.held.clear()
+            return None
+        self.held.put(rows[:PIECE])
+        for k in range(PIECE, len(rows), PIECE):
+            self.held.appendList(rows[k : k + PIECE])
+        return min(heard for _, _, heard in state.values()) // 1000 + self.quiet + 1
+
+    def frame(self, rows: list[tuple]):
+        """Rows of (kind, at, version, body, previous, *key)."""
+        keys = list(zip(*[r[5:] for r in rows]))
+        out = frame([r[:5] for r in rows], (), [])
+        for place, name in enumerate(self.keys):
+            out.insert(place, name, list(keys[place]))
+        return out
 
     def handleInputRows(self, key, rows, timerValues):
-        before = tuple(self.held.get()) if self.held.exists() else None
-        now, heard = before and before[:2], before[2] if before else None
-        for fresh, late in self.split(rows, timerValues.getCurrentWatermarkInMs()):
+        mark, fresh, last = timerValues.getCurrentWatermarkInMs(), {}, {}
+        columns = [*[f"key_{k}" for k in range(len(self.keys))], "row_at", "row_version", "row_body"]
+        for pdf in rows:
+            late = []
+            for row in zip(*[pdf[c].tolist() for c in columns]):
+                own, (at, version) = row[:-3], (None if v is None else int(v) for v in row[-3:-1])
+                if at is None or at // 1000 < mark:
+                    late.append(("late", at, version, row[-1], None, *own))
+                    continue
+                rank = (version is None, version or 0, row[-1])
+                if own not in fresh:
+                    fresh[own], last[own] = rank, at
+                    continue
+                fresh[own], last[own] = max(fresh[own], rank), max(last[own], at)
             if late:
-                yield frame([("late", *r, None) for r in late], key, self.keys)
-            if fresh:
-                heard = max([r[0] for r in fresh] + ([] if heard is None else [heard]))
-                _, version, body = max(fresh, key=lambda r: (r[1] is None, r[1] or 0, r[2]))
-                if now is None or version is None or now[0] is None or version > now[0]:
-                    now = (version, body)
-        if now is not None and (*now, heard) != before:
-            self.held.update((*now, heard))
-            self.wake(heard // 1000 + self.quiet + 1)
-            yield frame([("state", heard, *now, None)], key, self.keys)
+                yield self.frame(late)
+        if not fresh:
+            return
+        state, changed = self.read(), []
+        for own, (unversioned, version, body) in fresh.items():
+            before = state.get(own)
+            now, heard = (None if unversioned else version, body), last[own]
+            if before is not None:
+                newer = now[0] is None or before[0] is None or now[0] > before[0]
+                now, heard = now if newer else before[:2], max(heard, before[2])
+            if (*now, heard) != before:
+                state[own] = (*now, heard)
+                changed.append(("state", heard, *now, None, *own))
+        if changed:
+            self.wake(self.write(state))
+            yield self.frame(changed)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        version, body, heard = self.held.get()
-        self.held.clear()
-        yield frame([("quiet", heard, version, body, None)], key, self.keys)
+        mark, state = timerValues.getCurrentWatermarkInMs(), self.read()
+        gone = [own for own, (_, _, heard) in state.items() if heard // 1000 + self.quiet < mark]
+        out = [("quiet", state[own][2], *state[own][:2], None, *own) for own in gone]
+        for own in gone:
+            del state[own]
+        due = self.write(state)
+        if due is not None:
+            self.handle.registerTimer(due)
+        if out:
+            yield self.frame(out)
 
 
 class Changes(Timed):
@@ -140,19 +191,24 @@ class Changes(Timed):
             yield frame(out, key, self.keys)
 
 
-def timed(stream: DataFrame, processor: Timed, time: str, version, body, lateness: str) -> DataFrame:
+def timed(stream: DataFrame, processor: Timed, time: str, version, body, lateness: str, buckets: int | None = None) -> DataFrame:
     """The stream through a processor. The watermark follows `time`, but the column that goes on is another: on the column
-    itself Spark would drop late rows before the processor sees them."""
+    itself Spark would drop late rows before the processor sees them. With buckets, a state is that of all keys of a hash."""
     keys = processor.keys
-    marked = stream.withWatermark(time, lateness).select(*[F.col(k).cast("string").alias(k) for k in keys], F.unix_micros(time).cast("string").alias("row_at"), version.cast("long").cast("string").alias("row_version"), body.alias("row_body"))
-    return marked.groupBy(*keys).transformWithStateInPandas(processor, ", ".join(f"`{k}` string" for k in keys) + ", " + OUT, "append", "eventTime")
+    own = [F.col(k).cast("string").alias(f"key_{place}" if buckets else k) for place, k in enumerate(keys)]
+    told = [F.unix_micros(time).cast("string").alias("row_at"), version.cast("long").cast("string").alias("row_version"), body.alias("row_body")]
+    marked = stream.withWatermark(time, lateness).select(*own, *told)
+    if buckets:
+        marked = marked.withColumn("_bucket", F.pmod(F.xxhash64(*[f"key_{place}" for place in range(len(keys))]), F.lit(buckets)))
+    return marked.groupBy(*(["_bucket"] if buckets else keys)).transformWithStateInPandas(processor, ", ".join(f"`{k}` string" for k in keys) + ", " + OUT, "append", "eventTime")
 
 
-def latest_state(stream: DataFrame, keys: list[str], time: str, version: str, fields: dict[str, str], lateness: str = "15 minutes", quiet: timedelta = timedelta(days=7)) -> DataFrame:
+def latest_state(stream: DataFrame, keys: list[str], time: str, version: str, fields: dict[str, str], lateness: str = "15 minutes", quiet: timedelta = timedelta(days=7), buckets: int = BUCKETS) -> DataFrame:
     """R-3: kind, keys as strings, at (when the key was last heard of; a late row's own time), version, fields. Kind `state`
-    is a key's value whenever a batch changed it, `quiet` the value that was forgotten, `late` a row set aside."""
+    is a key's value whenever a batch changed it, `quiet` the value that was forgotten, `late` a row set aside. A batch reads
+    and writes the state of the buckets that its keys lie in; a task holds one bucket's keys. A stream keeps its number."""
     with_rocks(stream.sparkSession)
-    out = timed(stream, Newest(keys, quiet), time, F.col(version), F.to_json(F.struct(*fields), STAMP), lateness)
+    out = timed(stream, Newest(keys, quiet), time, F.col(version), F.to_json(F.struct(*fields), STAMP), lateness, buckets)
     read = F.from_json("body", ", ".join(f"`{n}` {t}" for n, t in fields.items()), STAMP)
     return out.withColumn("_f", read).select("kind", *keys, F.timestamp_micros("at").alias("at"), F.col("version").alias(version), "_f.*")
 

@@ -80,3 +80,31 @@ def test_newest_versions_nulls_and_large_numbers(runs):
 
 def test_no_rows(runs):
     assert runs(newest, [])[0] == []
+
+
+def test_many_keys_share_one_state_and_one_timer(spark, tmp_path):
+    """More keys than one message to the store takes; each is replaced, kept, set aside and forgotten as if it were alone."""
+    keys = [f"k{n}" for n in range(5000)] + [None]
+    batches = [
+        [row(k, 1 + n % 3, None, n, float(n)) for n, k in enumerate(keys)],
+        [row(k, 9, None, n + 1 if n % 2 else n - 1, -1.0) for n, k in enumerate(keys) if n % 5 == 0] + [row("k1", None, None, 9, 9.0), row("k7", 9, None, None, 7.0)],
+        [row("k2", 0.5, None, 99, 99.0), row("k4", 30, None, 99, 4.0)],
+    ]
+    sizes, timers = [], []
+    for batch in batches:
+        spark.createDataFrame([(k, "c", at(h), s, ver, v, n) for k, h, s, ver, v, n in batch], KIND).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = timed.latest_state(spark.readStream.schema(KIND).parquet(str(tmp_path / "in")), ["k", "c"], "ts", "version", {"v": "double"}, "2 hours", dt.timedelta(hours=10), buckets=1)
+        q = jobs.run_once(stream, str(tmp_path / "out"), str(tmp_path / "mark"))
+        q.awaitTermination()
+        state = q.lastProgress["stateOperators"][0]
+        sizes.append(state["numRowsTotal"])
+        timers.append(state["customMetrics"]["numRegisteredTimers"])
+    assert max(sizes) <= 1 and max(timers) <= 1
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {(r.k, r.v) for r in got if r.kind == "late"} == {("k1", 9.0), ("k2", 99.0)}
+    last = {k: (n, float(n)) for n, k in enumerate(keys)} | {k: (n + 1, -1.0) for n, k in enumerate(keys) if n % 5 == 0 and n % 2} | {"k7": (None, 7.0)}
+    heard = {k: 1 + n % 3 for n, k in enumerate(keys)} | {k: 9 for n, k in enumerate(keys) if n % 5 == 0} | {"k7": 9}
+    quiet = {r.k: (r.version, r.v) for r in got if r.kind == "quiet"}
+    del last["k4"]
+    assert quiet == last and {r.k: hours(r.at) for r in got if r.kind == "quiet"} == {k: h for k, h in heard.items() if k != "k4"}
+    assert [(r.version, r.v, hours(r.at)) for r in got if r.k == "k4" and r.kind == "state"] == [(4, 4.0, 2), (99, 4.0, 30)]
