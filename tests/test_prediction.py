@@ -90,3 +90,11 @@ def test_odd_readings(spark):
     got = {r.resource_id: r for r in make(rows).collect()}
     assert {"r1", "r2", "lone"} == set(got) and got["lone"].gate == "thin" or got["lone"].gate == "stale"
     assert make(base.limit(0)).count() == 0
+
+
+def test_forecasts_of_predictions_have_no_call_a_series(spark):
+    """Neither the whole nor the live predictions hand single series to Python; nothing of them is left out."""
+    for query in (prediction_queries.whole_predictions, prediction_queries.live_predictions):
+        out = query(spark, SF)
+        plan = out._jdf.queryExecution().toString()
+        assert "FlatMapGroups" not in plan and "MapInArrow" in plan
