@@ -3,9 +3,11 @@
 import datetime
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from fleetlens.functions import series as S
 from fleetlens.operators import prediction
 from fleetlens.plans import predict_queries, prediction_queries
 
@@ -98,3 +100,20 @@ def test_forecasts_of_predictions_have_no_call_a_series(spark):
         out = query(spark, SF)
         plan = out._jdf.queryExecution().toString()
         assert "FlatMapGroups" not in plan and "MapInArrow" in plan
+
+
+def test_live_predictions_against_one_series_at_a_time(spark):
+    x = prediction_queries.assembled(spark, SF).select("resource_id", "category", "feature", "method", "note", "trend", "f_24h", "f_7d_upper", "backtest_method", "backtest_mae", "mixed").collect()
+    rows = prediction_queries.readings(spark, SF)
+    known = prediction.known(rows, prediction.profile_versions(rows), prediction.prior_versions(rows), prediction_queries.models(rows), predict_queries.order(), rows.agg(F.max("ts").alias("now")), prediction_queries.MINUTES, prediction_queries.HOURS)
+    priors = {(r.resource_id, r.feature): S.Prior(r.prior, r.pool or 0, not r.rtype.startswith("other_")) for r in known.select("resource_id", "feature", "rtype", "prior", "pool").collect()}
+    series = {}
+    for r in rows.select("resource_id", "feature", "ts", "event_id", "value").orderBy("ts", "event_id").collect():
+        series.setdefault((r.resource_id, r.feature), []).append(((r.ts - DAY).total_seconds() / 3600, r.value))
+    assert len(x) == len(series)
+    for r in x:
+        t, y = np.array(series[r.resource_id, r.feature]).T
+        noisy = r.feature in ("canonical_dns_queries", "canonical_db_connections")
+        live, test = S.live(t - t[0], y, noisy, r.feature.endswith("_pct"), r.mixed, priors[r.resource_id, r.feature]), S.backtest(t - t[0], y, noisy)
+        assert (r.method, r.note, r.trend, r.backtest_method) == (live["method"], live["note"], live["trend"], test and test["method"]), r
+        assert abs(r.f_24h - live["point"][2]) < 0.0011 and abs(r.f_7d_upper - live["upper"][3]) < 0.0011 and (not test or abs(r.backtest_mae - test["mae"]) < 1e-6), r
